@@ -1,0 +1,43 @@
+"""Equi-join for a side in which a few key values may hold most of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_SALT = 1_000_000
+HOT_SHARE = 0.001
+MAX_SALTS = 1024
+
+
+def salted_join(
+    many: DataFrame,
+    few: DataFrame,
+    key: str,
+    rows_per_salt: int = ROWS_PER_SALT,
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
+    """Inner join of `many` with `few`, hot keys of `many` spread over salts.
+
+    A key is hot when it holds more than `hot_share` of all rows of `many` and
+    more than `rows_per_salt` rows; at most 1 / hot_share keys can be, which
+    bounds the broadcast list. Rows of `few` are repeated once per salt, and
+    only for hot keys. The result is the plain inner join.
+    """
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = many.agg(F.count(F.lit(1))).scalar()
+    salts = F.least(F.ceil(F.col("_n") / rows_per_salt), F.lit(MAX_SALTS)).cast("int")
+    hot = F.broadcast(
+        counts.where((F.col("_n") > rows_per_salt) & (F.col("_n") > total * hot_share)).select(
+            key, salts.alias("_salts")
+        )
+    )
+    spread = F.coalesce(F.col("_salts"), F.lit(1))
+    others = [c for c in many.columns if c != key]
+    left = many.join(hot, key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*others), spread).cast("int")
+    )
+    right = few.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), spread - 1))
+    )
+    return left.drop("_salts").join(right.drop("_salts"), [key, "_salt"]).drop("_salt")
