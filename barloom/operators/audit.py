@@ -139,7 +139,7 @@ def last_runs(runs: DataFrame, as_of: date | Column, days: int = 1) -> DataFrame
             "rows_processed",
             "rows_failed",
             whole_seconds(F.col("started_at"), F.col("finished_at")).alias("duration_sec"),
-            F.size("tickers_processed").alias("tickers_processed_count"),
+            F.array_size("tickers_processed").alias("tickers_processed_count"),
             "error_message",
         )
         .orderBy(F.desc("started_at"), "run_id")

@@ -224,10 +224,15 @@ _on_supplier("risk_metrics_trailing", risk.risk_metrics_trailing)
 _on_supplier("risk_metrics_window", risk.risk_metrics_window, start=YEAR[0], end=YEAR[1])
 _on_supplier("risk_metrics_grouped_map", risk.risk_metrics_grouped_map)
 _on_supplier("return_stats", risk.return_stats)
-_on_supplier("rolling_metrics", rolling.rolling_metrics)
 _on_supplier("rolling_vol_var", rolling.rolling_vol_var)
 
 
+@query
+def rolling_metrics(s, d):
+    rounded = {c: F.round(c, 6) for c in ("rolling_vol_21d", "rolling_mean_21d")}
+    return _rolling(s, d).withColumns(rounded)
+
+
 @query
 def return_series(s, d):
     series = risk.return_series(b.prices_supplier(s, d))
