@@ -1,8 +1,9 @@
 """Portfolio definitions and portfolio risk.
 
 holdings(portfolio, ticker, weight) has one row per portfolio and ticker.
-A ticker can be in most portfolios, so holdings meet returns in a salted join;
-everything after it is summed per portfolio and day before it is shuffled.
+A ticker can be in most portfolios and a portfolio can hold most tickers, so
+holdings meet returns and group totals in salted joins. After that rows are
+spread by portfolio and day; a portfolio as a whole is one row per day.
 """
 
 from __future__ import annotations
@@ -14,19 +15,19 @@ from barloom.functions import PRECISION, annualized, as_loss, ieee_ratio, rounde
 from barloom.operators.mutate import delete_keys
 from barloom.operators.returns import series, so_far, with_returns
 from barloom.operators.risk import MIN_POINTS, RISK_FREE, TAIL, cvar_of, sharpe_of, worst_fall
-from barloom.operators.skew import salted_join
+from barloom.operators.skew import salted_join, with_group_totals
 from barloom.operators.universe import check_page
 from barloom.schemas import HOLDING_KEY, METRIC_COLUMNS
 
 NAME_LIMIT = 100
+HOLDINGS_PER_TASK = 20_000  # of one ticker; each becomes some thousand rows
 
 # -- definitions ---------------------------------------------------------------
 
 
 def normalize_weights(holdings: DataFrame) -> DataFrame:
     """Weights of each portfolio scaled to sum to 1."""
-    totals = holdings.groupBy("portfolio").agg(F.sum("weight").alias("_total"))
-    return salted_join(holdings, totals, "portfolio").select(
+    return with_group_totals(holdings, "portfolio", {"_total": F.sum("weight")}).select(
         "portfolio", "ticker", (F.col("weight") / F.col("_total")).alias("weight")
     )
 
@@ -127,42 +128,94 @@ def _usable_returns(prices: DataFrame, align: str) -> DataFrame:
     )
 
 
-def _held_returns(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
-    # every holding fans out over a whole history, so the small side is spread
-    # by row count rather than left to be merged into few partitions
-    tasks = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = holdings.select(*HOLDING_KEY, "weight").repartition(tasks, *HOLDING_KEY)
-    return salted_join(spread, _usable_returns(prices, align), "ticker")
-
-
 def _tickers_with_data(prices: DataFrame) -> DataFrame:
     counts = prices.groupBy("ticker").agg(F.count(F.lit(1)).alias("bars"))
     return counts.where(F.col("bars") >= MIN_POINTS).select("ticker")
 
 
-def _complete_days(held: DataFrame, prices: DataFrame, holdings: DataFrame) -> DataFrame:
-    """(portfolio, slot, portfolio_return) where every leg that has data has a return."""
-    needed = (
-        holdings.join(_tickers_with_data(prices), "ticker", "left_semi")
-        .groupBy("portfolio")
-        .agg(F.count(F.lit(1)).alias("needed"))
+def _legs(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
+    """Every holding at every slot its ticker has a return for.
+
+    `needed` is the number of the portfolio's holdings that have data at all.
+    """
+    usable = holdings.select(*HOLDING_KEY, "weight").join(
+        _tickers_with_data(prices), "ticker", "left_semi"
     )
-    days = held.groupBy("portfolio", "slot").agg(
-        F.count(F.lit(1)).alias("legs"),
-        (F.sum(F.col("weight") * F.col("daily_return")) / F.sum("weight")).alias("portfolio_return"),
+    counted = with_group_totals(usable, "portfolio", {"needed": F.count(F.lit(1))})
+    return salted_join(
+        counted,
+        _usable_returns(prices, align),
+        "ticker",
+        rows_per_task=HOLDINGS_PER_TASK,
+        tasks=int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
-    return (
-        days.join(needed, "portfolio")
+
+
+def _weighted_return() -> tuple[Column, Column]:
+    return F.sum(F.col("weight") * F.col("daily_return")), F.sum("weight")
+
+
+def _days_and_legs(legs: DataFrame) -> DataFrame:
+    """Per portfolio, one row per complete slot with its return, and one without a slot.
+
+    The row without a slot holds the weighted mean volatility of the legs. Both
+    come from one pass over the expanded holdings, without joining it to itself.
+    """
+    slot = Window.partitionBy("portfolio", "slot")
+    gain, weight = (c.over(slot) for c in _weighted_return())
+    complete = (
+        legs.withColumn("legs", F.count(F.lit(1)).over(slot))
+        .withColumn("portfolio_return", gain / weight)
+        .withColumn("lead", F.col("ticker") == F.min("ticker").over(slot))
         .where(F.col("legs") == F.col("needed"))
-        .select("portfolio", "slot", "portfolio_return")
+    )
+
+    def row(**values: Column) -> Column:
+        none = {
+            "ticker": "string",
+            "slot": legs.schema["slot"].dataType,
+            "weight": "double",
+            "daily_return": "double",
+            "portfolio_return": "double",
+        }
+        return F.struct(
+            *[values.get(n, F.lit(None).cast(t)).alias(n) for n, t in none.items()]
+        )
+
+    leg = row(**{n: F.col(n) for n in ("ticker", "weight", "daily_return")})
+    day = row(slot=F.col("slot"), portfolio_return=F.col("portfolio_return"))
+    # one leg of each slot also brings the slot's own row
+    rows = F.when(F.col("lead"), F.array(leg, day)).otherwise(F.array(leg))
+    return (
+        complete.select("portfolio", F.inline(rows))
+        .groupBy("portfolio", "ticker", "slot")
+        .agg(
+            F.max("portfolio_return").alias("portfolio_return"),
+            F.max("weight").alias("weight"),
+            annualized(F.stddev_samp("daily_return")).alias("vol"),
+        )
+        .groupBy("portfolio", "slot")
+        .agg(
+            F.max("portfolio_return").alias("portfolio_return"),
+            F.try_divide(F.sum(F.col("weight") * F.col("vol")), F.sum("weight")).alias("leg_vol"),
+        )
     )
 
 
 def aligned_returns(prices: DataFrame, holdings: DataFrame, align: str = "date") -> DataFrame:
     """Weighted return per portfolio and day, days with a missing leg left out."""
-    held = _held_returns(prices, holdings, align)
-    name = "date" if align == "date" else "position"
-    return _complete_days(held, prices, holdings).withColumnRenamed("slot", name)
+    gain, weight = _weighted_return()
+    return (
+        _legs(prices, holdings, align)
+        .groupBy("portfolio", F.col("slot").alias("date" if align == "date" else "position"))
+        .agg(
+            (gain / weight).alias("portfolio_return"),
+            F.count(F.lit(1)).alias("legs"),
+            F.max("needed").alias("needed"),
+        )
+        .where(F.col("legs") == F.col("needed"))
+        .drop("legs", "needed")
+    )
 
 
 def _path(order: str) -> Column:
@@ -186,35 +239,27 @@ def portfolio_risk(
     Portfolios with fewer than three complete days are left out. The ratio is
     the weighted mean of the legs' volatility over the portfolio's own.
     """
-    held = _held_returns(prices, holdings, align)
-    days = _complete_days(held, prices, holdings)
+    frame = _days_and_legs(_legs(prices, holdings, align))
     r = "portfolio_return"
     whole = Window.partitionBy("portfolio")
-    frame = days.withColumn("path", _path("slot"))
+    frame = frame.withColumn("path", _path("slot"))
     frame = frame.withColumn("peak", F.max("path").over(so_far("portfolio", "slot")))
     frame = frame.withColumn("drawdown", ieee_ratio(F.col("peak") - F.col("path"), F.col("peak")))
     for name, tail in TAIL.items():
         frame = frame.withColumn(f"q_{name}", F.percentile(r, F.lit(tail)).over(whole))
     measures = frame.groupBy("portfolio").agg(
-        F.count(F.lit(1)).alias("days"),
+        F.count(r).alias("days"),
         annualized(F.stddev_samp(r)).alias("annualized_volatility"),
         *[as_loss(F.min(f"q_{n}")).alias(f"var_{n}") for n in TAIL],
         *[cvar_of(f"q_{n}", r).alias(f"cvar_{n}") for n in TAIL],
         sharpe_of(risk_free_rate, 1, r).alias("sharpe_ratio"),
         worst_fall().alias("max_drawdown"),
-    )
-    legs = (
-        held.join(days.select("portfolio", "slot"), ["portfolio", "slot"], "left_semi")
-        .groupBy("portfolio", "ticker")
-        .agg(F.max("weight").alias("weight"), annualized(F.stddev_samp("daily_return")).alias("vol"))
-        .groupBy("portfolio")
-        .agg((F.sum(F.col("weight") * F.col("vol")) / F.sum("weight")).alias("leg_vol"))
+        F.max("leg_vol").alias("leg_vol"),
     )
     own = F.col("annualized_volatility")
     ratio = F.when(own > 0, F.try_divide(F.col("leg_vol"), own)).otherwise(F.lit(1.0))
     return (
         measures.where(F.col("days") >= MIN_POINTS)
-        .join(legs, "portfolio")
         .select(
             "portfolio",
             *[rounded(name, digits).alias(name) for name in METRIC_COLUMNS],

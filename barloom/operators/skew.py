@@ -1,43 +1,85 @@
-"""Equi-join for a side in which a few key values may hold most of the rows."""
+"""Joins and group totals for tables in which a few key values hold most rows.
+
+Both first look for hot keys: one partially aggregated count of the key column,
+of which only keys above `rows_per_task` rows come to the driver, at most
+`MOST_HOT` of them. Any key with more than 1 / MOST_HOT of all rows is among
+these. Without hot keys, which is the usual case, the plan is the plain join or
+window; with hot keys their rows are spread over salts. Results never differ.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SALT = 1_000_000
-HOT_SHARE = 0.001
+ROWS_PER_TASK = 1_000_000
+MOST_HOT = 1000
 MAX_SALTS = 1024
 
 
-def salted_join(
-    many: DataFrame,
-    few: DataFrame,
-    key: str,
-    rows_per_salt: int = ROWS_PER_SALT,
-    hot_share: float = HOT_SHARE,
-) -> DataFrame:
-    """Inner join of `many` with `few`, hot keys of `many` spread over salts.
-
-    A key is hot when it holds more than `hot_share` of all rows of `many` and
-    more than `rows_per_salt` rows; at most 1 / hot_share keys can be, which
-    bounds the broadcast list. Rows of `few` are repeated once per salt, and
-    only for hot keys. The result is the plain inner join.
-    """
-    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = many.agg(F.count(F.lit(1))).scalar()
-    salts = F.least(F.ceil(F.col("_n") / rows_per_salt), F.lit(MAX_SALTS)).cast("int")
-    hot = F.broadcast(
-        counts.where((F.col("_n") > rows_per_salt) & (F.col("_n") > total * hot_share)).select(
-            key, salts.alias("_salts")
-        )
+def hot_keys(rows: DataFrame, key: str, rows_per_task: int) -> DataFrame | None:
+    """(key, _salts) of the hot keys, or None."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    salts = F.least(F.ceil(F.col("_n") / rows_per_task), F.lit(MAX_SALTS)).cast("int")
+    heaviest = (
+        counts.where(F.col(key).isNotNull() & (F.col("_n") > rows_per_task))
+        .orderBy(F.desc("_n"), key)
+        .limit(MOST_HOT)
+        .select(key, salts.alias("_salts"))
     )
+    found = heaviest.collect()
+    return rows.sparkSession.createDataFrame(found, heaviest.schema) if found else None
+
+
+def _salted(many: DataFrame, few: DataFrame, key: str, hot: DataFrame):
+    """Both sides with `_salt`: spread over a hot key's salts, repeated for each of them."""
+    listed = F.broadcast(hot)  # at most MOST_HOT rows
     spread = F.coalesce(F.col("_salts"), F.lit(1))
     others = [c for c in many.columns if c != key]
-    left = many.join(hot, key, "left").withColumn(
+    left = many.join(listed, key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*others), spread).cast("int")
     )
-    right = few.join(hot, key, "left").withColumn(
+    right = few.join(listed, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), spread - 1))
     )
-    return left.drop("_salts").join(right.drop("_salts"), [key, "_salt"]).drop("_salt")
+    return left.drop("_salts"), right.drop("_salts")
+
+
+def salted_join(
+    many: DataFrame,
+    few: DataFrame,
+    key: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Inner join; rows of `few` are repeated per salt, and only for hot keys of `many`.
+
+    tasks fixes the number of join tasks. It is for joins that multiply rows:
+    judged by their input, adaptive execution would broadcast one side and run
+    the other in a few merged partitions.
+    """
+    hot = hot_keys(many, key, rows_per_task)
+    on = [key]
+    if hot is not None:
+        many, few = _salted(many, few, key, hot)
+        on = [key, "_salt"]
+    if tasks:
+        many = many.repartition(tasks, *on).hint("merge")
+    return many.join(few, on).drop("_salt")
+
+
+def with_group_totals(
+    rows: DataFrame, key: str, totals: dict[str, Column], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Rows with aggregates of their group.
+
+    A window does that while no group exceeds `rows_per_task`. Otherwise groups
+    are aggregated partially and their one row of totals is joined back.
+    """
+    hot = hot_keys(rows, key, rows_per_task)
+    if hot is None:
+        group = Window.partitionBy(key)
+        return rows.withColumns({name: total.over(group) for name, total in totals.items()})
+    grouped = rows.groupBy(key).agg(*[total.alias(name) for name, total in totals.items()])
+    many, few = _salted(rows, grouped, key, hot)
+    return many.join(few, [key, "_salt"]).drop("_salt")
