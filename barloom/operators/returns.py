@@ -41,17 +41,18 @@ def daily_returns(prices: DataFrame) -> DataFrame:
     )
 
 
-def drawdown_series(prices: DataFrame) -> DataFrame:
-    """Running peak of the close and the fall from it as a positive fraction."""
-    peak = F.max("close").over(so_far())
+def with_drawdown(prices: DataFrame) -> DataFrame:
+    """Adds the running peak of the close and the fall from it as a positive fraction."""
     fall = ieee_ratio(F.col("running_max") - F.col("close"), F.col("running_max"))
-    return (
-        prices.select("ticker", "date", "close")
-        .withColumn("running_max", peak)
-        .withColumn("drawdown", fall)
+    return prices.withColumn("running_max", F.max("close").over(so_far())).withColumn(
+        "drawdown", fall
     )
 
 
+def drawdown_series(prices: DataFrame) -> DataFrame:
+    return with_drawdown(prices.select("ticker", "date", "close"))
+
+
 def date_gaps(prices: DataFrame) -> DataFrame:
     """Calendar days between a ticker's consecutive bars."""
     return (
@@ -102,8 +103,8 @@ def trailing_window(
     Without an anchor, an empty table is an error rather than an empty result.
     """
     if anchor is None:
-        last = latest_date(prices)
-        anchor = F.when(last.isNull(), F.raise_error(F.lit("price table is empty"))).otherwise(last)
+        nothing = F.raise_error(F.lit("price table is empty")).cast("date")
+        anchor = F.coalesce(latest_date(prices), nothing)
     rows = prices.where(F.col("date") > F.date_sub(lit_or_col(anchor), days))
     return rows.select("ticker", "date", "close")
 

@@ -25,10 +25,10 @@ from barloom.functions import (
 )
 from barloom.operators.returns import (
     between_dates,
-    drawdown_series,
     eligible_prices,
     so_far,
     trailing_window,
+    with_drawdown,
     with_returns,
 )
 from barloom.schemas import METRIC_COLUMNS
@@ -135,7 +135,7 @@ def sharpe_ratio(
 
 def max_drawdown(prices: DataFrame, digits: int = PRECISION) -> DataFrame:
     """Largest fall of the close from its running peak."""
-    return drawdown_series(prices).groupBy("ticker").agg(
+    return with_drawdown(prices.select("ticker", "date", "close")).groupBy("ticker").agg(
         rounded(worst_fall(), digits).alias("max_drawdown")
     )
 
@@ -147,8 +147,10 @@ def _with_return_drawdown(frame: DataFrame) -> DataFrame:
     the running peak of the closes from the second bar on gives the same falls.
     """
     later = F.when(F.col("prev_close").isNotNull(), F.col("close"))
-    peak = F.max(later).over(so_far())
-    return frame.withColumn("drawdown", ieee_ratio(peak - later, peak))
+    peak = F.col("peak")
+    return frame.withColumn("peak", F.max(later).over(so_far())).withColumn(
+        "drawdown", ieee_ratio(peak - later, peak)
+    )
 
 
 def max_drawdown_from_returns(prices: DataFrame, digits: int = PRECISION) -> DataFrame:
@@ -178,8 +180,7 @@ def risk_metrics(
     """
     frame = _clean_returns(prices)
     if drawdown == "prices":
-        peak = F.max("close").over(so_far())
-        frame = frame.withColumn("drawdown", ieee_ratio(peak - F.col("close"), peak))
+        frame = with_drawdown(frame)
     else:
         frame = _with_return_drawdown(frame)
     frame = _with_thresholds(frame, "ticker")

@@ -39,11 +39,12 @@ def rolling_vol_var(
     if not low <= window <= high:
         raise ValueError(f"window must be between {low} and {high}")
     frame = series().rowsBetween(1 - window, Window.currentRow)
-    full = F.row_number().over(series()) >= window
+    full = F.col("number") >= window
     r = "daily_return"
     return (
         daily_returns(prices)
         .withColumn("returns", F.count(F.lit(1)).over(Window.partitionBy("ticker")))
+        .withColumn("number", F.row_number().over(series()))
         .withColumn("vol", F.when(full, annualized(F.stddev_samp(r).over(frame))))
         .withColumn("var", F.when(full, as_loss(F.percentile(r, F.lit(0.05)).over(frame))))
         .where(F.col("returns") >= window)
