@@ -91,8 +91,10 @@ def tickers_by_prefix(prices: DataFrame, prefix: str) -> DataFrame:
 
 
 def latest_date(prices: DataFrame) -> Column:
-    """The table's own last date as a scalar subquery, evaluated inside the query."""
-    return prices.agg(F.max("date")).scalar()
+    """The table's own last date as a scalar subquery; having no date fails the query."""
+    nothing = F.raise_error(F.lit("price table is empty")).cast("date")
+    last = F.when(F.count("date") == 0, nothing).otherwise(F.max("date"))
+    return prices.agg(last).scalar()
 
 
 def trailing_window(
@@ -103,8 +105,7 @@ def trailing_window(
     Without an anchor, an empty table is an error rather than an empty result.
     """
     if anchor is None:
-        nothing = F.raise_error(F.lit("price table is empty")).cast("date")
-        anchor = F.coalesce(latest_date(prices), nothing)
+        anchor = latest_date(prices)
     rows = prices.where(F.col("date") > F.date_sub(lit_or_col(anchor), days))
     return rows.select("ticker", "date", "close")
 
