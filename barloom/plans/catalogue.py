@@ -26,7 +26,7 @@ from barloom.plans import reports
 from barloom.schemas import BAR_COLUMNS, BAR_KEY, METRIC_COLUMNS, METRIC_KEY, SCORE_KEY
 from barloom.session import scratch_path
 from barloom.sources import files, wide
-from barloom.sources.upserts import read_prices
+from barloom.sources.upserts import read_stored
 from barloom.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,7 +79,7 @@ def stream_incremental_ingest(s, d):
     ingest_new_files(s, inbox, table, checkpoint)
     files.write_csv(rows.where(F.col("date") >= "1999-01-01"), inbox, mode="append")
     ingest_new_files(s, inbox, table, checkpoint)
-    return read_prices(s, table).select(*BAR_COLUMNS)
+    return read_stored(s, table).select(*BAR_COLUMNS)
 
 
 def _wide_brands(s, d) -> DataFrame:

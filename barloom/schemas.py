@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import types as T
 
 
@@ -83,3 +85,23 @@ UNIVERSE = _struct(
     {"ticker": _S, "company_name": _S, "sector": _S, "active": _B, "added_at": _TS},
     optional={"company_name", "sector"},
 )
+
+
+@dataclass(frozen=True)
+class TableSpec:
+    """A stored table: its schema, natural key, and the column whose month partitions it."""
+
+    name: str
+    schema: T.StructType
+    key: tuple[str, ...]
+    dated_by: str
+
+
+PRICE_TABLE = TableSpec("market_prices", PRICES, ("ticker", "date"), "date")
+METRIC_TABLE = TableSpec(
+    "computed_metrics", METRICS, ("ticker", "window_start", "window_end"), "window_end"
+)
+SCORE_TABLE = TableSpec(
+    "data_quality_scores", SCORES, ("ticker", "check_date", "check_name"), "check_date"
+)
+RUN_TABLE = TableSpec("run_audit", RUNS, ("run_id", "started_at"), "started_at")

@@ -1,4 +1,4 @@
-"""Keyed upsert into a stored price table, rewriting only the months it touches."""
+"""Keyed upsert into a stored table, rewriting only the months it touches."""
 
 from __future__ import annotations
 
@@ -7,48 +7,61 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.mutate import insert_ignore, upsert
-from barloom.schemas import BAR_KEY, PRICES
+from barloom.schemas import PRICE_TABLE, TableSpec
 from barloom.session import scratch_path
 from barloom.sources.files import clustered, read_table
 
 MONTH = "month"
-STORED = T.StructType([*PRICES.fields, T.StructField(MONTH, T.StringType())])
 MARKER = T.StructType([T.StructField("finished", T.BooleanType())])
+POLICIES = {"upsert": upsert, "insert_ignore": insert_ignore}
 
 
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, STORED)
+def _stored_schema(spec: TableSpec) -> T.StructType:
+    return T.StructType([*spec.schema.fields, T.StructField(MONTH, T.StringType())])
+
+
+def _read(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    return read_table(spark, path, _stored_schema(spec))
+
+
+def read_stored(spark: SparkSession, path: str, spec: TableSpec = PRICE_TABLE) -> DataFrame:
+    return _read(spark, path, spec).drop(MONTH)
 
 
 def _merged_months(
-    spark: SparkSession, path: str, incoming: DataFrame, order: list[str], policy: str
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    spec: TableSpec,
+    order: list[str],
+    policy: str,
 ) -> DataFrame | None:
-    batch = incoming.select(*PRICES.fieldNames()).withColumn(
-        MONTH, F.date_format("date", "yyyy-MM")
+    batch = incoming.select(*spec.schema.fieldNames()).withColumn(
+        MONTH, F.date_format(spec.dated_by, "yyyy-MM")
     )
     # the batch feeds two jobs, so it is written once instead of being computed twice
     staged_batch = scratch_path(spark, "batch")
     batch.write.parquet(staged_batch)
-    batch = read_prices(spark, staged_batch)
+    batch = _read(spark, staged_batch, spec)
 
     # calendar months of the batch: bounded by the calendar, not by the data
     months = [r[MONTH] for r in batch.select(MONTH).distinct().collect()]
     if not months:
         return None
-    stored = read_prices(spark, path).where(F.col(MONTH).isin(months))
-    settle = {"upsert": upsert, "insert_ignore": insert_ignore}[policy]
-    return settle(stored, batch, BAR_KEY, order)
+    stored = _read(spark, path, spec).where(F.col(MONTH).isin(months))
+    return POLICIES[policy](stored, batch, list(spec.key), order)
 
 
-def store_prices(
+def store(
     spark: SparkSession,
     path: str,
     incoming: DataFrame,
     order: list[str],
+    spec: TableSpec = PRICE_TABLE,
     policy: str = "upsert",
     staging: str | None = None,
 ) -> None:
-    """Merge a validated batch into the table at `path`, partitioned by month.
+    """Merge a batch into the table at `path`, partitioned by the month of its date.
 
     The merged months are first staged in full, then replace the stored ones. A
     caller that names `staging` per batch can repeat a failed batch: a finished
@@ -58,13 +71,13 @@ def store_prices(
     staging = staging or scratch_path(spark, "months")
     marker = f"{staging}-finished"
     if read_table(spark, marker, MARKER).isEmpty():
-        merged = _merged_months(spark, path, incoming, order, policy)
+        merged = _merged_months(spark, path, incoming, spec, order, policy)
         if merged is None:
             return
         merged.write.mode("overwrite").parquet(staging)
         spark.range(1).select(F.lit(True).alias("finished")).write.mode("overwrite").parquet(marker)
     (
-        clustered(read_prices(spark, staging), [MONTH, *BAR_KEY])
+        clustered(_read(spark, staging, spec), [MONTH, *spec.key])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)

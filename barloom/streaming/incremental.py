@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom.operators.validate import stamp, validate
 from barloom.schemas import BARS
 from barloom.sources.files import CSV_OPTIONS
-from barloom.sources.upserts import store_prices
+from barloom.sources.upserts import store
 
 
 def read_new_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -38,7 +38,7 @@ def ingest_new_files(
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         rows = validate(batch, profile)
         stamped = stamp(rows, source, F.lit(datetime.now(timezone.utc)))
-        store_prices(
+        store(
             batch.sparkSession,
             table,
             stamped,
