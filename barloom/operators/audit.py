@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from barloom.functions import lit_or_col, whole_seconds
 from barloom.schemas import RUNS
 
+MOST_LISTED = 100_000  # tickers in one audit cell
+
 # fixed values
 RUNNING, SUCCEEDED, FAILED = "running", "succeeded", "failed"
 REAPED_MESSAGE = (
@@ -51,6 +53,13 @@ def register_run(
     return runs.select(*RUNS.fieldNames()).unionByName(row)
 
 
+def _listed(tickers: DataFrame, most: int) -> Column:
+    """Sorted distinct tickers as one array, or NULL when there are more than `most`."""
+    few = tickers.select("ticker").distinct().limit(most + 1)
+    array = F.array_sort(F.collect_list("ticker"))
+    return few.agg(F.when(F.count(F.lit(1)) <= most, array)).scalar()
+
+
 def complete_run(
     runs: DataFrame,
     run_id: str,
@@ -58,16 +67,17 @@ def complete_run(
     rows_processed: int | Column,
     tickers: DataFrame,
     rows_failed: int | Column | None = None,
+    most_listed: int = MOST_LISTED,
 ) -> DataFrame:
-    """Mark one run succeeded, with counts and the sorted tickers it touched."""
-    listed = tickers.select("ticker").distinct().agg(
-        F.array_sort(F.collect_list("ticker"))
-    ).scalar()
+    """Mark one run succeeded, with counts and the sorted tickers it touched.
+
+    A list too long for one audit cell is left NULL; `run_tickers` has it as rows.
+    """
     done = {
         "status": F.lit(SUCCEEDED),
         "finished_at": lit_or_col(finished_at).cast("timestamp"),
         "rows_processed": lit_or_col(rows_processed).cast("bigint"),
-        "tickers_processed": listed,
+        "tickers_processed": _listed(tickers, most_listed),
     }
     if rows_failed is not None:
         done["rows_failed"] = lit_or_col(rows_failed).cast("bigint")
@@ -75,6 +85,15 @@ def complete_run(
     return runs.withColumns({c: F.when(this, v).otherwise(F.col(c)) for c, v in done.items()})
 
 
+def run_tickers(run_id: str, started_at: datetime, tickers: DataFrame) -> DataFrame:
+    """The tickers of a run, one row each, for runs of any size."""
+    return tickers.select("ticker").distinct().select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(started_at).cast("timestamp").alias("started_at"),
+        "ticker",
+    )
+
+
 def run_readback(prices: DataFrame, source: str, run_start: datetime | Column) -> DataFrame:
     """Tickers a run has stored, by its source and start time."""
     written = (F.col("source") == source) & (F.col("ingested_at") >= lit_or_col(run_start))

@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 
 from barloom.operators import audit, quality, risk, validate
 from barloom.operators.universe import scoped_prices
-from barloom.schemas import METRIC_TABLE, PRICE_TABLE, RUN_TABLE, SCORE_TABLE, TableSpec
+from barloom.schemas import (
+    METRIC_TABLE,
+    PRICE_TABLE,
+    RUN_TABLE,
+    RUN_TICKER_TABLE,
+    SCORE_TABLE,
+    TableSpec,
+)
 from barloom.session import scratch_path
 from barloom.sources.files import read_table
 from barloom.sources.upserts import read_stored, store
@@ -51,6 +58,7 @@ def _finish(
     tables: Tables, run_id: str, now: datetime, rows: int, tickers: DataFrame, failed: int = 0
 ) -> None:
     this = tables.read(RUN_TABLE).where(F.col("run_id") == run_id)
+    tables.write(RUN_TICKER_TABLE, audit.run_tickers(run_id, now, tickers), ["ticker"])
     tables.write(
         RUN_TABLE, audit.complete_run(this, run_id, now, rows, tickers, failed), ["started_at"]
     )

@@ -105,3 +105,9 @@ SCORE_TABLE = TableSpec(
     "data_quality_scores", SCORES, ("ticker", "check_date", "check_name"), "check_date"
 )
 RUN_TABLE = TableSpec("run_audit", RUNS, ("run_id", "started_at"), "started_at")
+RUN_TICKER_TABLE = TableSpec(
+    "run_tickers",
+    _struct({"run_id": _S, "started_at": _TS, "ticker": _S}),
+    ("run_id", "started_at", "ticker"),
+    "started_at",
+)

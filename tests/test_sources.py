@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import validate
 from barloom.plans import daily
-from barloom.schemas import BARS, METRIC_TABLE, PRICE_TABLE, RUN_TABLE, SCORE_TABLE
+from barloom.schemas import BARS, METRIC_TABLE, PRICE_TABLE, RUN_TABLE, RUN_TICKER_TABLE, SCORE_TABLE
 from barloom.sources import files, wide
 from barloom.sources.upserts import read_stored, store
 from barloom.streaming.incremental import ingest_new_files
@@ -156,6 +156,8 @@ def test_daily_run(spark, inbox, tmp_path):
     assert runs["r1"].tickers_processed == ["MSFT"] and runs["r1"].rows_processed == 10
     assert runs["r3"].tickers_processed == ["AAPL"]
     assert runs["dead"].finished_at is None
+    listed = tables.read(RUN_TICKER_TABLE).where("run_id = 'r2'")
+    assert {r.ticker for r in listed.collect()} == {"AAPL", "MSFT"}
 
 
 def test_clustered_layout_splits_a_hot_ticker(spark, tmp_path):
