@@ -58,6 +58,15 @@ def test_risk_matches_numpy_and_weights_only_count_relatively(closes, spark):
     assert got["p"].diversification_ratio > 1.0
 
 
+def test_risk_does_not_depend_on_salting(closes, spark, monkeypatch):
+    prices = closes(A=path(1), B=path(2))
+    held = spark.createDataFrame([(f"p{i}", t, 1.0 + i) for i in range(6) for t in "AB"], HOLDINGS)
+    plain = sorted(portfolio.portfolio_risk(prices, held).collect())
+    monkeypatch.setattr(portfolio, "HOLDINGS_PER_TASK", 2)
+    salted = portfolio.portfolio_risk(prices, held)
+    assert sorted(salted.collect()) == plain and len(plain) == 6
+
+
 def test_alignment_by_date_drops_incomplete_days_and_by_position_does_not(closes, spark):
     a, b = path(4, 12), path(5, 12)
     ragged = [None, None, *b[2:]]
