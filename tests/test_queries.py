@@ -8,8 +8,8 @@ import __spark_entry__ as entry_points
 from oracles.compare import connect, differences
 
 SMALL = entry_points.SMOKE_DIR
-QUERIES = entry_points.queries()
-STATEMENTS = entry_points.oracle_sql()
+STATEMENTS = entry_points.STATEMENTS
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in entry_points.QUERIES}
 
 
 @pytest.fixture(scope="module")
