@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byte_bpe, token_counts
+from barloom.llm import byte_bpe, simhash, token_counts
 from barloom.llm.base import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,8 +24,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
+    "op9_simhash": op9_simhash,
 }
 ORACLES: dict[str, str] = {}
