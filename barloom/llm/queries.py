@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byte_bpe, simhash, token_counts
+from barloom.llm import byte_bpe, simhash, token_counts, warc
 from barloom.llm.base import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,6 +18,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES, limit=4096)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"), least=1000).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(
         table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN
@@ -30,7 +36,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_simhash": op9_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc": """
+        WITH payloads AS (
+            SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), owned AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                           THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original <> page_id THEN original END AS refers_to
+        FROM owned
+    """,
+}
