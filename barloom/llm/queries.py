@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byte_bpe, simhash, token_counts, warc
+from barloom.llm import byte_bpe, perspectives, simhash, token_counts, warc
 from barloom.llm.base import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -34,11 +34,16 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
 
 
+def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.perspective_samples(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_simhash": op9_simhash,
+    "op10_perspectives": op10_perspectives,
 }
 ORACLES: dict[str, str] = {
     "op3_warc": """
@@ -56,4 +61,39 @@ ORACLES: dict[str, str] = {
                CASE WHEN original <> page_id THEN original END AS refers_to
         FROM owned
     """,
+    "op10_perspectives": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker,
+                   coalesce(text, '') AS text
+            FROM conversations
+        ), people AS (
+            SELECT DISTINCT conv_id AS of_conv, speaker AS perspective FROM turns WHERE speaker <> 'system'
+        ), seen AS (
+            SELECT conv_id, perspective, turn, speaker, text, speaker = perspective AS own,
+                   '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant'
+                                          WHEN speaker = 'system' THEN 'system'
+                                          ELSE 'user name='
+                                               || regexp_replace(speaker, '[\t\n\f\r <>|=]', '_', 'g')
+                                     END || chr(10) AS head
+            FROM turns JOIN people ON conv_id IS NOT DISTINCT FROM of_conv
+        ), rendered AS (
+            SELECT *, head || replace(text, '<|im_', '<| im_') || '<|im_end|>' || chr(10) AS segment
+            FROM seen
+        ), placed AS (
+            SELECT *, coalesce(sum(length(segment)) OVER (
+                       PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, text
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS starts
+            FROM rendered
+        ), packed AS (
+            SELECT *, CAST(floor(starts / 32768) AS BIGINT) AS sample FROM placed
+        ), based AS (
+            SELECT *, min(starts) OVER (PARTITION BY conv_id, perspective, sample) AS base FROM packed
+        )
+        SELECT conv_id, perspective, sample, count(*) AS n_turns,
+               string_agg(segment, '' ORDER BY starts) AS text,
+               coalesce(string_agg(CAST(CAST(starts + length(head) - base AS BIGINT) AS VARCHAR) || '-'
+                          || CAST(CAST(starts + length(segment) - 1 - base AS BIGINT) AS VARCHAR),
+                          ',' ORDER BY starts) FILTER (WHERE own), '') AS masks
+        FROM based GROUP BY conv_id, perspective, sample
+    """,
 }
