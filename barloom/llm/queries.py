@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byte_bpe, perspectives, simhash, token_counts, warc
+from barloom.llm import byte_bpe, merkle, perspectives, simhash, token_counts, warc
 from barloom.llm.base import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -30,6 +30,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_and_compare(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_merkle": op5_merkle,
     "op9_simhash": op9_simhash,
     "op10_perspectives": op10_perspectives,
 }
