@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, merkle, perspectives, simhash, token_counts, warc
-from barloom.llm.base import table
+from barloom.llm import byte_bpe, language, merkle, perspectives, simhash, token_counts, toxicity, warc
+from barloom.llm.base import crc_bucket, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,6 +35,24 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_and_compare(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        training="crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 4 <> 2",
+    )
+    held_out = F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(
+        table(spark, sf_dir, "documents"), training="crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0"
+    )
+    held_out = F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
 
@@ -47,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_merkle": op5_merkle,
+    "op6_toxicity": op6_toxicity,
+    "op7_language": op7_language,
     "op9_simhash": op9_simhash,
     "op10_perspectives": op10_perspectives,
 }
