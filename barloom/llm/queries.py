@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, language, merkle, perspectives, simhash, token_counts, toxicity, warc
+from barloom.llm import byte_bpe, language, merkle, perspectives, simhash, suffix_dedup, token_counts, toxicity, warc
 from barloom.llm.base import crc_bucket, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -53,6 +53,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_merkle": op5_merkle,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash": op9_simhash,
     "op10_perspectives": op10_perspectives,
 }
