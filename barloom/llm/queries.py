@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, language, merkle, perspectives, simhash, suffix_dedup, token_counts, toxicity, warc
+from barloom.llm import byte_bpe, decontaminate, language, merkle, perspectives, simhash, suffix_dedup, token_counts, toxicity, warc
 from barloom.llm.base import crc_bucket, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -19,6 +19,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES, limit=4096)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"), least=1000).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -67,6 +71,7 @@ def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontaminate": op2_decontaminate,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_merkle": op5_merkle,
