@@ -14,6 +14,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
@@ -196,13 +197,13 @@ class ByteBPE:
         if len(self.recent) > REMEMBERED:  # what has not come up for a whole turn is forgotten
             self.recent, self.older = {}, self.recent
 
-    def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
-        """Number of ids, SHA-256 of their decimal text, SHA-256 of the bytes they decode to."""
+    def digests(self, texts: list[str]) -> Iterator[tuple[list[str], str, str]]:
+        """Ids in decimal, SHA-256 of their joined text, SHA-256 of the bytes they decode to."""
         for group in small_groups(texts):
             for text in self._ids_texts(group):
                 ids = text.split(" ") if text else []
                 yield (
-                    len(ids),
+                    ids,
                     hashlib.sha256(text.encode()).hexdigest(),
                     hashlib.sha256(b"".join(map(self.by_decimal.__getitem__, ids))).hexdigest(),
                 )
@@ -279,8 +280,11 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return map_batches(encoded.select("doc_id", "ids"), decode, "doc_id long, decoded binary")
 
 
-def round_trip(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Encodes and decodes every whole text: token count and digests, one row per input row.
+def round_trip(
+    documents: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False
+) -> DataFrame:
+    """Encodes and decodes every whole text: token count and digests, one row per input row,
+    and the ids themselves if wanted.
 
     A NULL text is empty: 0 tokens and the digests of the empty string. A NULL
     doc_id stays NULL, repeated rows give repeated rows, other columns are ignored,
@@ -291,12 +295,15 @@ def round_trip(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame
 
     def encode(columns: dict[str, list]) -> dict[str, list]:
         bpe = coder(content.value, pattern)
-        found = list(bpe.digests([t or "" for t in columns["text"]]))
-        return {
-            "doc_id": columns["doc_id"],
-            "n_tokens": [f[0] for f in found],
-            "ids_sha256": [f[1] for f in found],
-            "decoded_sha256": [f[2] for f in found],
-        }
-
-    return map_batches(documents.select("doc_id", "text"), encode, SCHEMA)
+        out: dict[str, list] = {"doc_id": columns["doc_id"], "n_tokens": [], "ids_sha256": []}
+        out |= {"decoded_sha256": [], "ids": []}
+        for ids, of_ids, of_bytes in bpe.digests([t or "" for t in columns["text"]]):
+            out["n_tokens"].append(len(ids))
+            out["ids_sha256"].append(of_ids)
+            out["decoded_sha256"].append(of_bytes)
+            if with_ids:
+                out["ids"].append(np.array(ids, dtype=np.int32))
+        return out
+
+    schema = SCHEMA + ", ids array<int>" if with_ids else SCHEMA
+    return map_batches(documents.select("doc_id", "text"), encode, schema)

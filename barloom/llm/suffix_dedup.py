@@ -475,8 +475,9 @@ def _identity(text: Column) -> Column:
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
-    """(doc_id, row, spans): byte spans to remove per document that has any, overlapping, in
-    order of their start. `row` is the hash of the text, for rows that share a doc_id."""
+    """(doc, row, spans): byte spans to remove per document that has any, overlapping, in
+    order of their start. `doc` is doc_id or NO_ID, `row` the hash of the text, for rows that
+    share a doc_id."""
     spark = prepared(documents.sparkSession)
     rows = documents.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), _identity(F.col("text")).alias("row"), "text"
@@ -520,12 +521,15 @@ def _kept(text: bytes, removed: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(documents: DataFrame) -> DataFrame:
-    spans = repeated_spans(documents)
-    marked = documents.withColumn("_doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumn(
-        "_row", _identity(F.col("text"))
+    """(whole, spans): each row as a struct, so that no column of it can clash, and its spans."""
+    spans = repeated_spans(documents).withColumnsRenamed({"doc": "of_doc", "row": "of_row"})
+    rows = documents.select(
+        F.struct(*[documents[c] for c in documents.columns]).alias("whole"),
+        F.coalesce(documents["doc_id"], F.lit(NO_ID)).alias("doc"),
+        _identity(documents["text"]).alias("row"),
     )
-    same = (F.col("_doc") == F.col("doc")) & (F.col("_row") == F.col("row"))
-    return marked.join(spans, same, "left")
+    same = (F.col("doc") == F.col("of_doc")) & (F.col("row") == F.col("of_row"))
+    return rows.join(spans, same, "left").select("whole", "spans")
 
 
 def repeated_bytes(documents: DataFrame) -> DataFrame:
@@ -541,7 +545,8 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             spans = batch.column("spans").to_pylist()
-            for text, own in zip(_utf8(batch.column("text")), spans, strict=True):
+            whole = batch.column("whole")
+            for text, own in zip(_utf8(whole.field("text")), spans, strict=True):
                 removed = _merged(own)
                 out.append(
                     (
@@ -555,17 +560,12 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *arrays],
+                [whole.field("doc_id"), *arrays],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return (
-        _with_spans(documents.select("doc_id", "text"))
-        .select("doc_id", "text", "spans")
-        .mapInArrow(
-            digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-        )
-    )
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return _with_spans(documents.select("doc_id", "text")).mapInArrow(digest, schema)
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -576,18 +576,20 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     empty, its row stays.
     """
 
+    names = documents.columns
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
+            whole, spans = batch.column("whole"), batch.column("spans").to_pylist()
             texts = [
-                None if whole is None else _kept(whole, _merged(own)).decode("utf-8", "ignore")
-                for whole, own in zip(batch.column("text").cast(pa.binary()).to_pylist(), spans, strict=True)
+                None if text is None else _kept(text, _merged(own)).decode("utf-8", "ignore")
+                for text, own in zip(
+                    whole.field("text").cast(pa.binary()).to_pylist(), spans, strict=True
+                )
             ]
             columns = [
-                pa.array(texts, pa.string()) if name == "text" else batch.column(name)
-                for name in documents.columns
+                pa.array(texts, pa.string()) if name == "text" else whole.field(name) for name in names
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=documents.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    marked = _with_spans(documents)
-    return marked.select(*documents.columns, "spans").mapInArrow(cut, documents.schema)
+    return _with_spans(documents).mapInArrow(cut, documents.schema)
