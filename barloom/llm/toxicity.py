@@ -32,6 +32,9 @@ SAME_VOTER = 0.8
 LEAST_SUPPORT = 5
 # Signed root of the likelihood ratio from which a feature is no chance find among millions.
 LEAST_ASSOCIATION = 5.0
+# How often a given label is taken to be right. It is the one rate that is not estimated: it holds
+# the classes to their meaning, while voters may still overrule a label.
+LABEL_TRUST = 0.98
 THRESHOLD = 0.3
 # Patterns of style. Each is a voter; none decides alone.
 PATTERNS = {
@@ -163,12 +166,10 @@ class LabelModel:
     @classmethod
     def _rates(cls, votes: np.ndarray, posterior: np.ndarray, weight: np.ndarray) -> LabelModel:
         toxic, clean = posterior.sum(), (1 - posterior).sum()
-        return cls(
-            (toxic + 1) / (toxic + clean + 2),
-            (posterior @ votes + 0.5) / (toxic + 1),
-            ((1 - posterior) @ votes + 0.5) / (clean + 1),
-            weight,
-        )
+        toxic_rate = (posterior @ votes + 0.5) / (toxic + 1)
+        clean_rate = ((1 - posterior) @ votes + 0.5) / (clean + 1)
+        toxic_rate[-1], clean_rate[-1] = LABEL_TRUST, 1 - LABEL_TRUST
+        return cls((toxic + 1) / (toxic + clean + 2), toxic_rate, clean_rate, weight)
 
     def _discounts(self, votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
         """One over the variance shared with all voters, given the class; 1 for a voter that
@@ -316,7 +317,7 @@ def train(sample: DataFrame) -> Classifier:
         votes[i, [column[f] for f in own if f in column]] = 1
     votes[:, len(voters) : -2] = np.array(rows["fired"].tolist())
     votes[:, -2] = ~votes[:, : len(voters)].any(axis=1)  # no word of the lexicon
-    votes[:, -1] = toxic  # the given label is one more voter, whose accuracy is estimated, too
+    votes[:, -1] = toxic  # the given label is one more voter
     model = LabelModel.fit(votes, start=0.02 + 0.96 * toxic)
     return Classifier.fit(present, names, model.posterior(votes))
 
