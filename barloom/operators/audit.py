@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from barloom.functions import lit_or_col, whole_seconds
 from barloom.schemas import RUNS
 
-MOST_LISTED = 100_000  # tickers in one audit cell
-
 # fixed values
 RUNNING, SUCCEEDED, FAILED = "running", "succeeded", "failed"
 REAPED_MESSAGE = (
@@ -53,11 +51,9 @@ def register_run(
     return runs.select(*RUNS.fieldNames()).unionByName(row)
 
 
-def _listed(tickers: DataFrame, most: int) -> Column:
-    """Sorted distinct tickers as one array, or NULL when there are more than `most`."""
-    few = tickers.select("ticker").distinct().limit(most + 1)
-    array = F.array_sort(F.collect_list("ticker"))
-    return few.agg(F.when(F.count(F.lit(1)) <= most, array)).scalar()
+def _listed(tickers: DataFrame) -> Column:
+    """All distinct tickers, sorted, as one array."""
+    return tickers.agg(F.array_sort(F.collect_set("ticker"))).scalar()
 
 
 def complete_run(
@@ -67,17 +63,17 @@ def complete_run(
     rows_processed: int | Column,
     tickers: DataFrame,
     rows_failed: int | Column | None = None,
-    most_listed: int = MOST_LISTED,
 ) -> DataFrame:
-    """Mark one run succeeded, with counts and the sorted tickers it touched.
+    """Mark one run succeeded, with counts and all tickers it touched, sorted.
 
-    A list too long for one audit cell is left NULL; `run_tickers` has it as rows.
+    The list is one cell of the audit table, whatever its length; it is as long as the
+    universe at most. `run_tickers` has the same as rows.
     """
     done = {
         "status": F.lit(SUCCEEDED),
         "finished_at": lit_or_col(finished_at).cast("timestamp"),
         "rows_processed": lit_or_col(rows_processed).cast("bigint"),
-        "tickers_processed": _listed(tickers, most_listed),
+        "tickers_processed": _listed(tickers),
     }
     if rows_failed is not None:
         done["rows_failed"] = lit_or_col(rows_failed).cast("bigint")

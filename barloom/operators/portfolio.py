@@ -1,9 +1,11 @@
 """Portfolio definitions and portfolio risk.
 
 holdings(portfolio, ticker, weight) has one row per portfolio and ticker.
-A ticker can be in most portfolios and a portfolio can hold most tickers, so
-holdings meet returns and group totals in salted joins. After that rows are
-spread by portfolio and day; a portfolio as a whole is one row per day.
+A ticker can be in most portfolios and a portfolio can hold most tickers. Group
+totals are aggregated partially and joined back. Holdings meet returns by ticker
+and year of the return, the few holdings being repeated per year, so that one
+ticker's days are spread at every size. What a holding yields per day is only
+ever aggregated, partially before its shuffle.
 """
 
 from __future__ import annotations
@@ -15,16 +17,21 @@ from barloom.functions import PRECISION, annualized, as_loss, ieee_ratio, rounde
 from barloom.operators.mutate import delete_keys
 from barloom.operators.returns import series, so_far, with_returns
 from barloom.operators.risk import MIN_POINTS, RISK_FREE, TAIL, cvar_of, sharpe_of, worst_fall
-from barloom.operators.skew import salted_join, with_group_totals
 from barloom.operators.universe import check_page
 from barloom.schemas import HOLDING_KEY, METRIC_COLUMNS
 
 NAME_LIMIT = 100
-HOLDINGS_PER_TASK = 20_000  # of one ticker; each becomes some thousand rows
+BUCKET_SLOTS = 256  # returns of one ticker that meet its holdings in one task, by position
 
 # -- definitions ---------------------------------------------------------------
 
 
+def with_group_totals(rows: DataFrame, key: str, totals: dict[str, Column]) -> DataFrame:
+    """Rows with aggregates of their group, which no task ever holds as a whole."""
+    grouped = rows.groupBy(key).agg(*[total.alias(name) for name, total in totals.items()])
+    return rows.join(grouped, key)
+
+
 def normalize_weights(holdings: DataFrame) -> DataFrame:
     """Weights of each portfolio scaled to sum to 1."""
     return with_group_totals(holdings, "portfolio", {"_total": F.sum("weight")}).select(
@@ -39,8 +46,8 @@ def request_legs(requests: DataFrame) -> DataFrame:
     )
 
 
-def portfolio_conflicts(existing: DataFrame, requests: DataFrame) -> DataFrame:
-    """Why a requested portfolio is refused, one row per portfolio and reason."""
+def _refusals(requests: DataFrame, known: DataFrame) -> DataFrame:
+    """(portfolio, found, reasons) of every requested portfolio; found: it is among `known`."""
     legs = requests.withColumn("ticker", symbol("ticker"))
     per_ticker = legs.groupBy("portfolio", "ticker").agg(
         F.count("ticker").alias("times"),
@@ -49,19 +56,36 @@ def portfolio_conflicts(existing: DataFrame, requests: DataFrame) -> DataFrame:
     facts = per_ticker.groupBy("portfolio").agg(
         F.sum("times").alias("legs"), F.max("times").alias("most"), F.sum("bad").alias("bad")
     )
-    stored = existing.select("portfolio").distinct().withColumn("stored", F.lit(True))
+    stored = known.select("portfolio").distinct().withColumn("stored", F.lit(True))
     reasons = F.array(
-        F.when(F.col("stored"), F.lit("exists")),
         F.when(F.col("most") > 1, F.lit("duplicate_ticker")),
         F.when(F.col("bad") > 0, F.lit("bad_weight")),
         F.when(F.col("legs") == 0, F.lit("empty")),
         F.when(F.length("portfolio") > NAME_LIMIT, F.lit("name_too_long")),
     )
     return facts.join(stored, "portfolio", "left").select(
-        "portfolio", F.explode(F.array_compact(reasons)).alias("reason")
+        "portfolio",
+        F.coalesce("stored", F.lit(False)).alias("found"),
+        F.array_compact(reasons).alias("reasons"),
     )
 
 
+def _listed_reasons(refusals: DataFrame, own: Column) -> DataFrame:
+    reasons = F.array_compact(F.array_append("reasons", own))
+    return refusals.select("portfolio", F.explode(reasons).alias("reason"))
+
+
+def portfolio_conflicts(existing: DataFrame, requests: DataFrame) -> DataFrame:
+    """Why a portfolio to be created is refused, one row per portfolio and reason."""
+    return _listed_reasons(_refusals(requests, existing), F.when(F.col("found"), F.lit("exists")))
+
+
+def replacement_conflicts(existing: DataFrame, replacement: DataFrame) -> DataFrame:
+    """Why holdings to be replaced are refused, one row per portfolio and reason."""
+    unknown = F.when(~F.col("found"), F.lit("unknown"))
+    return _listed_reasons(_refusals(replacement, existing), unknown)
+
+
 def create_portfolios(existing: DataFrame, requests: DataFrame) -> DataFrame:
     """Normalised holdings of the requests that are accepted."""
     refused = portfolio_conflicts(existing, requests).select("portfolio").distinct()
@@ -70,10 +94,15 @@ def create_portfolios(existing: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def replace_holdings(holdings: DataFrame, replacement: DataFrame) -> DataFrame:
-    """Drop all holdings of the replaced portfolios and insert the new ones, normalised."""
-    replaced = replacement.select("portfolio").distinct()
-    kept = delete_keys(holdings, replaced, ["portfolio"])
-    fresh = normalize_weights(request_legs(replacement))
+    """Drop all holdings of the replaced portfolios and insert the new ones, normalised.
+
+    Replacements that `replacement_conflicts` refuses change nothing: no holdings, a
+    weight that is not positive, a ticker twice, a portfolio that holds nothing yet.
+    """
+    refused = replacement_conflicts(holdings, replacement).select("portfolio").distinct()
+    accepted = replacement.join(refused, "portfolio", "left_anti")
+    kept = delete_keys(holdings, accepted.select("portfolio").distinct(), ["portfolio"])
+    fresh = normalize_weights(request_legs(accepted))
     return kept.unionByName(fresh.select(*holdings.columns))
 
 
@@ -109,8 +138,8 @@ def portfolio_list(
 # -- risk ----------------------------------------------------------------------
 
 
-def _usable_returns(prices: DataFrame, align: str) -> DataFrame:
-    """(ticker, slot, daily_return) of tickers with enough bars.
+def _returns(prices: DataFrame, align: str) -> DataFrame:
+    """(ticker, bucket, slot, daily_return) of tickers with enough bars.
 
     slot is the date, or the return's number counted from the ticker's oldest.
     """
@@ -118,103 +147,67 @@ def _usable_returns(prices: DataFrame, align: str) -> DataFrame:
         raise ValueError(f"unknown alignment: {align}")
     bars = F.count(F.lit(1)).over(Window.partitionBy("ticker"))
     slot = F.col("date") if align == "date" else F.row_number().over(series()) - 1
+    bucket = F.year("slot") if align == "date" else F.floor(F.col("slot") / BUCKET_SLOTS)
     return (
         with_returns(prices.select("ticker", "date", "close"))
         .withColumn("slot", slot)
         .withColumn("bars", bars)
         .where((F.col("bars") >= MIN_POINTS) & F.col("prev_close").isNotNull())
-        .where(~F.isnan("daily_return"))
-        .select("ticker", "slot", "daily_return")
+        .select("ticker", bucket.alias("bucket"), "slot", "daily_return")
     )
 
 
-def _tickers_with_data(prices: DataFrame) -> DataFrame:
-    counts = prices.groupBy("ticker").agg(F.count(F.lit(1)).alias("bars"))
-    return counts.where(F.col("bars") >= MIN_POINTS).select("ticker")
-
-
 def _legs(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
     """Every holding at every slot its ticker has a return for.
 
     `needed` is the number of the portfolio's holdings that have data at all.
     """
-    usable = holdings.select(*HOLDING_KEY, "weight").join(
-        _tickers_with_data(prices), "ticker", "left_semi"
-    )
-    counted = with_group_totals(usable, "portfolio", {"needed": F.count(F.lit(1))})
-    return salted_join(
-        counted,
-        _usable_returns(prices, align),
-        "ticker",
-        rows_per_task=HOLDINGS_PER_TASK,
-        tasks=int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+    returns = _returns(prices, align)
+    # a ticker with enough bars has returns, so its buckets also say that it has data
+    buckets = returns.select("ticker", "bucket").distinct()
+    usable = returns.where(~F.isnan("daily_return"))
+    held = holdings.select(*HOLDING_KEY, "weight").join(
+        buckets.select("ticker").distinct(), "ticker", "left_semi"
     )
+    counted = with_group_totals(held, "portfolio", {"needed": F.count(F.lit(1))})
+    return counted.join(buckets, "ticker").join(usable, ["ticker", "bucket"]).drop("bucket")
 
 
 def _weighted_return() -> tuple[Column, Column]:
     return F.sum(F.col("weight") * F.col("daily_return")), F.sum("weight")
 
 
-def _days_and_legs(legs: DataFrame) -> DataFrame:
-    """Per portfolio, one row per complete slot with its return, and one without a slot.
-
-    The row without a slot holds the weighted mean volatility of the legs. Both
-    come from one pass over the expanded holdings, without joining it to itself.
-    """
-    slot = Window.partitionBy("portfolio", "slot")
-    gain, weight = (c.over(slot) for c in _weighted_return())
-    complete = (
-        legs.withColumn("legs", F.count(F.lit(1)).over(slot))
-        .withColumn("portfolio_return", gain / weight)
-        .withColumn("lead", F.col("ticker") == F.min("ticker").over(slot))
+def _complete_days(legs: DataFrame) -> DataFrame:
+    """(portfolio, slot, portfolio_return) of the slots at which no holding is missing."""
+    gain, weight = _weighted_return()
+    return (
+        legs.groupBy("portfolio", "slot")
+        .agg(
+            (gain / weight).alias("portfolio_return"),
+            F.count(F.lit(1)).alias("legs"),
+            F.max("needed").alias("needed"),
+        )
         .where(F.col("legs") == F.col("needed"))
+        .select("portfolio", "slot", "portfolio_return")
     )
 
-    def row(**values: Column) -> Column:
-        none = {
-            "ticker": "string",
-            "slot": legs.schema["slot"].dataType,
-            "weight": "double",
-            "daily_return": "double",
-            "portfolio_return": "double",
-        }
-        return F.struct(
-            *[values.get(n, F.lit(None).cast(t)).alias(n) for n, t in none.items()]
-        )
 
-    leg = row(**{n: F.col(n) for n in ("ticker", "weight", "daily_return")})
-    day = row(slot=F.col("slot"), portfolio_return=F.col("portfolio_return"))
-    # one leg of each slot also brings the slot's own row
-    rows = F.when(F.col("lead"), F.array(leg, day)).otherwise(F.array(leg))
+def _leg_volatility(legs: DataFrame, days: DataFrame) -> DataFrame:
+    """(portfolio, leg_vol): weighted mean volatility of the holdings over the complete days."""
+    complete = legs.join(days.select("portfolio", "slot"), ["portfolio", "slot"], "left_semi")
     return (
-        complete.select("portfolio", F.inline(rows))
-        .groupBy("portfolio", "ticker", "slot")
-        .agg(
-            F.max("portfolio_return").alias("portfolio_return"),
-            F.max("weight").alias("weight"),
-            annualized(F.stddev_samp("daily_return")).alias("vol"),
-        )
-        .groupBy("portfolio", "slot")
-        .agg(
-            F.max("portfolio_return").alias("portfolio_return"),
-            F.try_divide(F.sum(F.col("weight") * F.col("vol")), F.sum("weight")).alias("leg_vol"),
-        )
+        complete.groupBy("portfolio", "ticker")
+        .agg(F.max("weight").alias("weight"), annualized(F.stddev_samp("daily_return")).alias("vol"))
+        .groupBy("portfolio")
+        .agg(F.try_divide(F.sum(F.col("weight") * F.col("vol")), F.sum("weight")).alias("leg_vol"))
     )
 
 
 def aligned_returns(prices: DataFrame, holdings: DataFrame, align: str = "date") -> DataFrame:
     """Weighted return per portfolio and day, days with a missing leg left out."""
-    gain, weight = _weighted_return()
-    return (
-        _legs(prices, holdings, align)
-        .groupBy("portfolio", F.col("slot").alias("date" if align == "date" else "position"))
-        .agg(
-            (gain / weight).alias("portfolio_return"),
-            F.count(F.lit(1)).alias("legs"),
-            F.max("needed").alias("needed"),
-        )
-        .where(F.col("legs") == F.col("needed"))
-        .drop("legs", "needed")
+    days = _complete_days(_legs(prices, holdings, align))
+    return days.withColumnRenamed("slot", "date" if align == "date" else "position").select(
+        "portfolio", "date" if align == "date" else "position", "portfolio_return"
     )
 
 
@@ -239,10 +232,11 @@ def portfolio_risk(
     Portfolios with fewer than three complete days are left out. The ratio is
     the weighted mean of the legs' volatility over the portfolio's own.
     """
-    frame = _days_and_legs(_legs(prices, holdings, align))
+    legs = _legs(prices, holdings, align)
+    days = _complete_days(legs)
     r = "portfolio_return"
     whole = Window.partitionBy("portfolio")
-    frame = frame.withColumn("path", _path("slot"))
+    frame = days.withColumn("path", _path("slot"))
     frame = frame.withColumn("peak", F.max("path").over(so_far("portfolio", "slot")))
     frame = frame.withColumn("drawdown", ieee_ratio(F.col("peak") - F.col("path"), F.col("peak")))
     for name, tail in TAIL.items():
@@ -254,8 +248,7 @@ def portfolio_risk(
         *[cvar_of(f"q_{n}", r).alias(f"cvar_{n}") for n in TAIL],
         sharpe_of(risk_free_rate, 1, r).alias("sharpe_ratio"),
         worst_fall().alias("max_drawdown"),
-        F.max("leg_vol").alias("leg_vol"),
-    )
+    ).join(_leg_volatility(legs, days), "portfolio")
     own = F.col("annualized_volatility")
     ratio = F.when(own > 0, F.try_divide(F.col("leg_vol"), own)).otherwise(F.lit(1.0))
     return (

@@ -9,7 +9,6 @@ from __future__ import annotations
 from datetime import date
 from statistics import NormalDist
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -272,34 +271,43 @@ def risk_metrics_grouped_map(
     anchor: date | Column | None = None,
     digits: int = PRECISION,
 ) -> DataFrame:
-    """The trailing metric set through the pandas hook, a cross-check of the native plan."""
-
-    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf["daily_return"].to_numpy()
-        excess = r - risk_free_rate / TRADING_DAYS
-        spread = excess.std()
-        path = np.cumprod(1.0 + r)
-        peak = np.maximum.accumulate(path)
-        row = {
-            "ticker": pdf["ticker"].iat[0],
-            "window_start": pdf["date"].iat[0],
-            "window_end": pdf["date"].iat[-1],
-            "annualized_volatility": r.std(ddof=1) * np.sqrt(TRADING_DAYS) if len(r) > 1 else np.nan,
-            "sharpe_ratio": excess.mean() / spread * np.sqrt(TRADING_DAYS) if spread > FLAT else 0.0,
-            "max_drawdown": ((peak - path) / peak).max(),
-        }
-        for name, tail in TAIL.items():
-            cut = np.percentile(r, tail * 100.0)
-            row[f"var_{name}"] = 0.0 - cut
-            row[f"cvar_{name}"] = 0.0 - r[r <= cut].mean()
-        return pd.DataFrame([row])
+    """The trailing metric set through the pandas hook.
+
+    Written with Series methods on a date index, so that it shares nothing with the
+    native expressions but the definitions.
+    """
+
+    def tails(returns: pd.Series) -> dict[str, float]:
+        cuts = returns.quantile(list(TAIL.values()))
+        worst = {name: returns[returns.le(cuts[share])] for name, share in TAIL.items()}
+        at_risk = {f"var_{name}": -cuts[share] for name, share in TAIL.items()}
+        return at_risk | {f"cvar_{name}": -losses.mean() for name, losses in worst.items()}
+
+    def profile(rows: pd.DataFrame) -> pd.DataFrame:
+        returns = rows.set_index("date")["daily_return"]
+        yearly = TRADING_DAYS**0.5
+        deviation = returns.std(ddof=0)
+        growth = returns.add(1).cumprod()
+        fall = growth.rsub(growth.cummax()).div(growth.cummax())
+        mean_excess = returns.mean() - risk_free_rate / TRADING_DAYS
+        return pd.DataFrame(
+            {
+                "ticker": rows["ticker"].head(1),
+                "window_start": returns.index.min(),
+                "window_end": returns.index.max(),
+                "annualized_volatility": returns.std() * yearly,
+                **tails(returns),
+                "sharpe_ratio": mean_excess / deviation * yearly if deviation > FLAT else 0.0,
+                "max_drawdown": fall.max(),
+            }
+        )
 
     schema = "ticker string, window_start date, window_end date, " + ", ".join(
         f"{name} double" for name in METRIC_COLUMNS
     )
     windowed = eligible_prices(trailing_window(prices, window_days, anchor), min_price_points)
     returns = with_returns(windowed).where(F.col("prev_close").isNotNull())
-    sets = apply_per_ticker(returns, measure, schema).where(is_finite("annualized_volatility"))
+    sets = apply_per_ticker(returns, profile, schema).where(is_finite("annualized_volatility"))
     return sets.select(
         "ticker",
         "window_start",

@@ -12,7 +12,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.returns import between_dates
 from barloom.operators.risk import risk_metrics
 from barloom.schemas import BAR_COLUMNS
 
@@ -277,23 +276,20 @@ def order_portfolios(spark: SparkSession, folder: str) -> DataFrame:
 # -- stored metrics ------------------------------------------------------------------
 
 
-def metrics_of_year(
-    prices: DataFrame, year: int, risk_free_rate: float = 0.02
+def stored_metrics(
+    spark: SparkSession, folder: str, risk_free_rate: float = 0.02
 ) -> DataFrame:
-    """One yearly snapshot as the metrics table stores it."""
-    window = between_dates(prices, date(year, 1, 1), date(year, 12, 31))
-    sets = risk_metrics(window, risk_free_rate=risk_free_rate, digits=None)
-    return sets.select(
-        "*",
-        (F.date_add("window_end", 1)).cast("timestamp").alias("computed_at"),
-        F.lit(None).cast("bigint").alias("computation_duration_ms"),
-    )
-
-
-def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot per ticker and year, all years in one pass, as the metrics table stores them."""
     prices = prices_supplier(spark, folder)
-    years = [metrics_of_year(prices, year) for year in (1998, 1999, 2000)]
-    return years[0].unionByName(years[1]).unionByName(years[2])
+    yearly = prices.withColumn("ticker", F.concat_ws("@", "ticker", F.year("date")))
+    sets = risk_metrics(yearly, risk_free_rate=risk_free_rate, digits=None)
+    return sets.withColumns(
+        {
+            "ticker": F.regexp_replace("ticker", "@[0-9]{4}$", ""),
+            "computed_at": F.date_add("window_end", 1).cast("timestamp"),
+            "computation_duration_ms": F.lit(None).cast("bigint"),
+        }
+    )
 
 
 # -- audit ------------------------------------------------------------------------------

@@ -36,7 +36,6 @@ BOOK = "P000003"
 WINDOW_DAYS = 365
 DENSE = 50  # bars a ticker needs in the window to be eligible
 YEAR = (date(2000, 1, 1), date(2000, 12, 31))
-BRAND_COUNT = 25
 INGEST_START = datetime(2001, 6, 1)
 
 QUERIES: dict[str, Query] = {}
@@ -83,8 +82,10 @@ def stream_incremental_ingest(s, d):
 
 
 def _wide_brands(s, d) -> DataFrame:
-    brands = [f"BRAND#{n}" for n in range(1, BRAND_COUNT + 1)]
     prices = b.prices_brand(s, d)
+    # a wide frame has a column per ticker, so its tickers have to be known to lay it out
+    names = b.table(s, d, "part").select(F.upper("p_brand").alias("ticker")).distinct()
+    brands = [r["ticker"] for r in names.orderBy("ticker").collect()]
     cells = [
         F.max(F.when(F.col("ticker") == t, F.col(f))).alias(wide.wide_column(t, f))
         for t in brands
@@ -179,18 +180,18 @@ def price_range(s, d):
 
 @query
 def trailing_window(s, d):
-    return returns.trailing_window(b.prices_supplier(s, d), WINDOW_DAYS)
+    return returns.trailing_window(b.prices_supplier(s, d), WINDOW_DAYS, b.last_ship_date(s, d))
 
 
 @query
 def eligible_tickers(s, d):
-    recent = returns.trailing_window(b.prices_supplier(s, d), WINDOW_DAYS)
+    recent = returns.trailing_window(b.prices_supplier(s, d), WINDOW_DAYS, b.last_ship_date(s, d))
     return returns.eligible_tickers(recent, DENSE)
 
 
 @query
 def eligible_prices(s, d):
-    recent = returns.trailing_window(b.prices_supplier(s, d), WINDOW_DAYS)
+    recent = returns.trailing_window(b.prices_supplier(s, d), WINDOW_DAYS, b.last_ship_date(s, d))
     return returns.eligible_prices(recent, DENSE)
 
 
@@ -220,13 +221,21 @@ _on_supplier("max_drawdown", risk.max_drawdown)
 _on_supplier("max_drawdown_from_returns", risk.max_drawdown_from_returns)
 _on_supplier("drawdown_series", returns.drawdown_series)
 _on_supplier("risk_metrics", risk.risk_metrics)
-_on_supplier("risk_metrics_trailing", risk.risk_metrics_trailing)
 _on_supplier("risk_metrics_window", risk.risk_metrics_window, start=YEAR[0], end=YEAR[1])
-_on_supplier("risk_metrics_grouped_map", risk.risk_metrics_grouped_map)
 _on_supplier("return_stats", risk.return_stats)
 _on_supplier("rolling_vol_var", rolling.rolling_vol_var)
 
 
+@query
+def risk_metrics_trailing(s, d):
+    return risk.risk_metrics_trailing(b.prices_supplier(s, d), anchor=b.last_ship_date(s, d))
+
+
+@query
+def risk_metrics_grouped_map(s, d):
+    return risk.risk_metrics_grouped_map(b.prices_supplier(s, d), anchor=b.last_ship_date(s, d))
+
+
 @query
 def rolling_metrics(s, d):
     rounded = {c: F.round(c, 6) for c in ("rolling_vol_21d", "rolling_mean_21d")}
@@ -301,11 +310,9 @@ def risk_return_scatter(s, d):
 
 @query
 def upsert_metrics(s, d):
-    prices = b.prices_supplier(s, d)
-    stored = b.metrics_of_year(prices, 1999).unionByName(b.metrics_of_year(prices, 2000))
-    batch = b.metrics_of_year(prices, 2000, risk_free_rate=0.05).unionByName(
-        b.metrics_of_year(prices, 2001, risk_free_rate=0.05)
-    )
+    year = F.year("window_end")
+    stored = b.stored_metrics(s, d).where(year <= 2000)
+    batch = b.stored_metrics(s, d, risk_free_rate=0.05).where(year >= 2000)
     merged = mutate.upsert(
         stored, batch, METRIC_KEY, ["computed_at"], set_cols=[*METRIC_COLUMNS, "computed_at"]
     )
@@ -548,7 +555,7 @@ _on_supplier("price_page", universe.price_page, ticker=TICKER, limit=100, offset
 
 @query
 def stale_tickers(s, d):
-    return reports.stale_tickers(b.prices_supplier(s, d))
+    return reports.stale_tickers(b.prices_supplier(s, d), b.last_ship_date(s, d))
 
 
 def _tracked(s, d) -> DataFrame:
@@ -562,7 +569,9 @@ def coverage_summary(s, d):
 
 @query
 def coverage_gaps(s, d):
-    return reports.coverage_gaps(b.prices_supplier(s, d), _tracked(s, d), b.scoring_time(s, d))
+    return reports.coverage_gaps(
+        b.prices_supplier(s, d), _tracked(s, d), b.scoring_time(s, d), b.last_ship_date(s, d)
+    )
 
 
 @query

@@ -42,7 +42,8 @@ class Tables:
         return read_stored(self.spark, self.path(spec), spec)
 
     def write(self, spec: TableSpec, rows: DataFrame, order: list[str], policy="upsert") -> None:
-        store(self.spark, self.path(spec), rows, order, spec, policy)
+        constraints = validate.PRICE_CONSTRAINTS if spec is PRICE_TABLE else None
+        store(self.spark, self.path(spec), rows, order, spec, policy, constraints=constraints)
 
 
 def _start(tables: Tables, run_id: str, run_type: str, now: datetime, parameters: dict) -> None:

@@ -172,11 +172,15 @@ def coverage_summary(prices: DataFrame, universe: DataFrame, as_of: date | Colum
 
 
 def coverage_gaps(
-    prices: DataFrame, universe: DataFrame, as_of_time: datetime | Column
+    prices: DataFrame,
+    universe: DataFrame,
+    as_of_time: datetime | Column,
+    market: date | Column | None = None,
 ) -> DataFrame:
-    """Active tickers without bars, or with a last bar well behind the market's."""
+    """Active tickers without bars, or with a last bar well behind the market's last date,
+    by default the table's."""
     per_ticker = _per_ticker(prices)
-    market = prices.agg(F.max("date")).scalar()
+    market = prices.agg(F.max("date")).scalar() if market is None else lit_or_col(market)
     behind = F.col("last_date").isNull() | (F.col("last_date") < F.date_sub(market, STALE_DAYS))
     return (
         universe.where("active")
@@ -225,9 +229,9 @@ def ingest_summary(prices: DataFrame) -> DataFrame:
     )
 
 
-def stale_tickers(prices: DataFrame) -> DataFrame:
-    """Tickers whose last bar is well behind the table's last date."""
-    market = prices.agg(F.max("date")).scalar()
+def stale_tickers(prices: DataFrame, market: date | Column | None = None) -> DataFrame:
+    """Tickers whose last bar is well behind the market's last date, by default the table's."""
+    market = prices.agg(F.max("date")).scalar() if market is None else lit_or_col(market)
     return (
         _per_ticker(prices)
         .where(F.col("last_date") < F.date_sub(market, STALE_DAYS))

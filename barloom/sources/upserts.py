@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.mutate import insert_ignore, upsert
+from barloom.operators.validate import require_constraints
 from barloom.schemas import PRICE_TABLE, TableSpec
 from barloom.session import scratch_path
 from barloom.sources.files import clustered, read_table
 
 MONTH = "month"
-MARKER = T.StructType([T.StructField("finished", T.BooleanType())])
+MARKER = T.StructType([T.StructField("state", T.StringType())])
+STAGED, STORED = "staged", "stored"
 POLICIES = {"upsert": upsert, "insert_ignore": insert_ignore}
 
 
@@ -52,6 +54,10 @@ def _merged_months(
     return POLICIES[policy](stored, batch, list(spec.key), order)
 
 
+def _mark(spark: SparkSession, marker: str, state: str) -> None:
+    spark.createDataFrame([(state,)], MARKER).coalesce(1).write.mode("append").parquet(marker)
+
+
 def store(
     spark: SparkSession,
     path: str,
@@ -60,22 +66,31 @@ def store(
     spec: TableSpec = PRICE_TABLE,
     policy: str = "upsert",
     staging: str | None = None,
+    constraints: dict[str, str] | None = None,
 ) -> None:
     """Merge a batch into the table at `path`, partitioned by the month of its date.
 
     The merged months are first staged in full, then replace the stored ones. A
-    caller that names `staging` per batch can repeat a failed batch: a finished
-    stage is used again instead of merging with half-replaced months. One writer
-    per table at a time.
+    caller that repeats failed batches names `staging` by the batch's identity: a
+    batch that was staged in full is not merged with half-replaced months again, and
+    one that was stored is not stored again, whatever has been written since. The
+    name has to be the batch's own for good: another batch under it would be taken
+    for this one. One writer per table at a time.
+
+    A batch with a row that breaks one of the table's `constraints` is refused as a whole.
     """
+    incoming = require_constraints(incoming, constraints or {})
     staging = staging or scratch_path(spark, "months")
-    marker = f"{staging}-finished"
-    if read_table(spark, marker, MARKER).isEmpty():
+    marker = f"{staging}-state"
+    states = {row["state"] for row in read_table(spark, marker, MARKER).collect()}
+    if STORED in states:
+        return
+    if STAGED not in states:
         merged = _merged_months(spark, path, incoming, spec, order, policy)
         if merged is None:
             return
         merged.write.mode("overwrite").parquet(staging)
-        spark.range(1).select(F.lit(True).alias("finished")).write.mode("overwrite").parquet(marker)
+        _mark(spark, marker, STAGED)
     (
         clustered(_read(spark, staging, spec), [MONTH, *spec.key])
         .write.mode("overwrite")
@@ -83,3 +98,4 @@ def store(
         .partitionBy(MONTH)
         .parquet(path)
     )
+    _mark(spark, marker, STORED)

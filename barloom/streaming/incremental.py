@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.validate import stamp, validate
+from barloom.operators.validate import PRICE_CONSTRAINTS, stamp, validate
 from barloom.schemas import BARS
 from barloom.sources.files import CSV_OPTIONS
 from barloom.sources.upserts import store
@@ -31,11 +31,15 @@ def ingest_new_files(
 ) -> int:
     """Ingest the files not seen by this checkpoint yet, then stop; returns the batches run.
 
-    Each micro-batch is an upsert by (ticker, date), so a batch that is repeated
-    after a failure changes nothing.
+    Each micro-batch is an upsert by (ticker, date). It is staged inside the checkpoint
+    under the query's own id, which a recreated checkpoint does not share, so a batch
+    that is repeated after a failure changes nothing and no other batch is taken for it.
     """
+    checkpoint = checkpoint.rstrip("/")
+    stored_batches: list[int] = []
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
         rows = validate(batch, profile)
         stamped = stamp(rows, source, F.lit(datetime.now(timezone.utc)))
         store(
@@ -43,8 +47,10 @@ def ingest_new_files(
             table,
             stamped,
             order=["open", "high", "low", "close", "volume"],
-            staging=f"{checkpoint.rstrip('/')}-staged/{batch_id}",
+            staging=f"{checkpoint}/staged/{query_id}/{batch_id}",
+            constraints=PRICE_CONSTRAINTS,
         )
+        stored_batches.append(batch_id)
 
     query = (
         read_new_files(spark, path, max_files)
@@ -54,4 +60,4 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p.numInputRows > 0)
+    return len(stored_batches)

@@ -11,6 +11,7 @@ from oracles.ctes import (
     portfolio_risk_of,
     r,
     scores_of,
+    YEARS,
     stored_year,
     supplier,
     with_ctes,
@@ -300,9 +301,7 @@ STATEMENTS: dict[str, str] = {
     "upsert_metrics": with_ctes(
         f"""
         SELECT {KEYS}, {ROUNDED} FROM (
-            SELECT * FROM ({stored_year(1999)}) UNION ALL
-            SELECT * FROM ({stored_year(2000, 0.05)}) UNION ALL
-            SELECT * FROM ({stored_year(2001, 0.05)}))""",
+            {" UNION ALL ".join(stored_year(y, 0.05 if y >= 2000 else 0.02) for y in YEARS)})""",
         "prices_s",
     ),
     # rolling reports

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import portfolio, skew
+from barloom.operators import portfolio
 from barloom.operators.quantiles import exact_quantile
 from barloom.operators.risk import risk_metrics
 from barloom.schemas import METRIC_COLUMNS
@@ -58,13 +58,26 @@ def test_risk_matches_numpy_and_weights_only_count_relatively(closes, spark):
     assert got["p"].diversification_ratio > 1.0
 
 
-def test_risk_does_not_depend_on_salting(closes, spark, monkeypatch):
+def test_risk_does_not_depend_on_buckets(closes, spark, monkeypatch):
     prices = closes(A=path(1), B=path(2))
     held = spark.createDataFrame([(f"p{i}", t, 1.0 + i) for i in range(6) for t in "AB"], HOLDINGS)
-    plain = sorted(portfolio.portfolio_risk(prices, held).collect())
-    monkeypatch.setattr(portfolio, "HOLDINGS_PER_TASK", 2)
-    salted = portfolio.portfolio_risk(prices, held)
-    assert sorted(salted.collect()) == plain and len(plain) == 6
+    plain = sorted(portfolio.portfolio_risk(prices, held, align="position").collect())
+    monkeypatch.setattr(portfolio, "BUCKET_SLOTS", 2)
+    assert sorted(portfolio.portfolio_risk(prices, held, align="position").collect()) == plain
+    by_date = portfolio.portfolio_risk(prices, held)
+    assert sorted(by_date.collect()) == plain and len(plain) == 6
+
+
+def test_building_the_plan_runs_no_job(closes, spark):
+    prices = closes(A=path(1), B=path(2))
+    held = spark.createDataFrame([("p", "A", 1.0), ("p", "B", 2.0)], HOLDINGS)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    portfolio.portfolio_risk(prices, held)
+    portfolio.replace_holdings(held, held)
+    portfolio.create_portfolios(held, held)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("", "")
+    assert list(jobs) == []
 
 
 def test_alignment_by_date_drops_incomplete_days_and_by_position_does_not(closes, spark):
@@ -123,32 +136,26 @@ def test_replace_delete_and_list(spark):
     ]
 
 
-# -- skew -------------------------------------------------------------------------
+def test_refused_replacements_change_nothing(spark):
+    held = spark.createDataFrame([("p", "A", 0.5), ("p", "B", 0.5), ("q", "C", 1.0), ("r", "D", 1.0)], HOLDINGS)
+    asked = spark.createDataFrame(
+        [("p", None, None), ("q", "X", -1.0), ("q", "x", 3.0), ("new", "A", 1.0), ("r", "e", 2.0)], HOLDINGS
+    )
+    reasons = {tuple(r) for r in portfolio.replacement_conflicts(held, asked).collect()}
+    assert reasons == {("p", "empty"), ("q", "bad_weight"), ("q", "duplicate_ticker"), ("new", "unknown")}
+    got = {tuple(r) for r in portfolio.replace_holdings(held, asked).collect()}
+    assert got == {("p", "A", 0.5), ("p", "B", 0.5), ("q", "C", 1.0), ("r", "E", 1.0)}
 
 
-def test_salted_join_equals_plain_join_with_a_hot_key(spark):
-    many = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v")
-    )
-    few = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    hot = skew.hot_keys(many, "k", rows_per_task=100)
-    assert [(r.k, r._salts) for r in hot.collect()] == [(0, 11)]
-    salted = skew.salted_join(many, few, "k", rows_per_task=100)
-    plain = many.join(few, "k")
-    assert salted.columns == plain.columns
-    assert sorted(salted.collect()) == sorted(plain.collect())
-    assert skew.hot_keys(many, "k", rows_per_task=10_000) is None
-    spread = salted.select(F.spark_partition_id().alias("p"), "k").where("k = 0").distinct().count()
-    assert salted.count() == 3000 and spread >= 1
-
-
-@pytest.mark.parametrize("rows_per_task", [10, 10_000])
-def test_group_totals_do_not_depend_on_the_way_taken(spark, rows_per_task):
-    rows = spark.range(200).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    got = skew.with_group_totals(rows, "k", {"n": F.count(F.lit(1)), "s": F.sum("v")}, rows_per_task)
-    want = {k: (len(range(k, 200, 3)), sum(range(k, 200, 3))) for k in range(3)}
-    assert got.count() == 200
-    assert {r.k: (r.n, r.s) for r in got.collect()} == want
+# -- groups -----------------------------------------------------------------------
+
+
+def test_group_totals_with_two_thousand_hot_keys(spark):
+    rows = spark.range(40_000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("v"))
+    got = portfolio.with_group_totals(rows, "k", {"n": F.count(F.lit(1)), "s": F.sum("v")})
+    want = {k: (20, sum(range(k, 40_000, 2000))) for k in range(2000)}
+    assert got.count() == 40_000
+    assert {r.k: (r.n, r.s) for r in got.select("k", "n", "s").distinct().collect()} == want
 
 
 @pytest.mark.parametrize("q", [0.0, 0.01, 0.5, 0.95, 1.0])

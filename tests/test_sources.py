@@ -108,6 +108,37 @@ def test_a_repeated_batch_reuses_its_finished_stage(spark, bars, tmp_path):
     assert [r.close for r in read_stored(spark, path).collect()] == [10.0]
 
 
+def test_a_stored_batch_is_not_stored_again(spark, bars, tmp_path):
+    path, staging = str(tmp_path / "prices"), str(tmp_path / "stage")
+    row = lambda close: validate.stamp(bars([("A", 0, close, 1)]), "s3", datetime(2024, 1, 1))
+    store(spark, path, row(10), ["volume"], staging=staging)
+    store(spark, path, row(20), ["volume"])
+    store(spark, path, row(10), ["volume"], staging=staging)  # the repeated batch
+    assert [r.close for r in read_stored(spark, path).collect()] == [20.0]
+
+
+@pytest.mark.parametrize("broken", [{"low": -5.0}, {"low": 0.0}, {"volume": -1}])
+def test_rows_that_break_a_constraint_are_refused(spark, bars, tmp_path, broken):
+    path = str(tmp_path / "prices")
+    good = validate.stamp(bars([("A", 0, 10, 1)]), "s3", datetime(2024, 1, 1))
+    store(spark, path, good, ["volume"])
+    bad = good.withColumns({c: F.lit(v) for c, v in broken.items()})
+    with pytest.raises(Exception, match="constraint .* violated"):
+        store(spark, path, good.unionByName(bad), ["volume"], constraints=validate.PRICE_CONSTRAINTS)
+    assert [(r.low, r.volume) for r in read_stored(spark, path).collect()] == [(9.0, 1)]
+
+
+def test_a_recreated_checkpoint_meets_no_old_stage(spark, inbox, tmp_path):
+    prices, checkpoint = str(tmp_path / "prices"), tmp_path / "checkpoint"
+    folder = inbox("a.csv", HEADER + "A,2024-01-02,1,9,1,1.0,10\n")
+    assert ingest_new_files(spark, folder, prices, str(checkpoint)) == 1
+    again = tmp_path / "recreated"  # batch 0 of another query, over the same folder
+    inbox("b.csv", HEADER + "B,2024-01-02,1,9,1,3.0,10\n")
+    assert ingest_new_files(spark, folder, prices, str(again)) == 1
+    assert {r.ticker: r.close for r in read_stored(spark, prices).collect()} == {"A": 1.0, "B": 3.0}
+    assert (checkpoint / "staged").exists() and (again / "staged").exists()
+
+
 def test_stream_ingests_each_file_once(spark, inbox, tmp_path):
     prices, checkpoint = str(tmp_path / "prices"), str(tmp_path / "checkpoint")
     folder = inbox("a.csv", TWO_TICKERS)

@@ -208,8 +208,9 @@ def test_complete_run(runs, closes):
     assert got["r1"].tickers_processed == ["A", "B"]
     assert (got["r1"].status, got["r1"].rows_processed, got["r1"].rows_failed) == ("succeeded", 7, 3)
     assert got["r2"].status == "running"
-    short = audit.complete_run(runs, "r1", datetime(2024, 1, 10), 7, closes(B=[1], A=[1]), most_listed=1)
-    assert short.where("run_id = 'r1'").first().tickers_processed is None
+    many = runs.sparkSession.range(150_000).selectExpr("'T' || id AS ticker")
+    whole = audit.complete_run(runs, "r1", datetime(2024, 1, 10), 7, many)
+    assert whole.where("run_id = 'r1'").selectExpr("size(tickers_processed)").first()[0] == 150_000
     listed = audit.run_tickers("r1", datetime(2024, 1, 10), closes(B=[1], A=[1, 2]))
     assert sorted(r.ticker for r in listed.collect()) == ["A", "B"]
     history = {r.run_id: r.duration_seconds for r in audit.run_history(done, date(2024, 1, 10)).collect()}
