@@ -409,7 +409,7 @@ def quality_count(s, d):
 @query
 def quality_heatmap_worst(s, d):
     worst = quality.quality_heatmap_worst(_scores(s, d), b.last_ship_date(s, d), worst=10)
-    return worst.select("ticker", "check_name", "score")
+    return worst.select("ticker", "check_name", "score", "details")
 
 
 @query
@@ -420,7 +420,7 @@ def quality_trend(s, d):
 @query
 def tickers_needing_attention(s, d):
     failing = quality.tickers_needing_attention(_scores(s, d), b.last_ship_date(s, d), 100)
-    return failing.select("ticker", "check_name", "score")
+    return failing.select("ticker", "check_name", "score", "details", "checked_at")
 
 
 @query

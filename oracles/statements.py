@@ -362,12 +362,6 @@ STATEMENTS: dict[str, str] = {
     "quality_count": with_ctes(
         "SELECT check_date, count(*) AS scores FROM scores GROUP BY check_date", "scores"
     ),
-    "quality_heatmap_worst": with_ctes(
-        """SELECT ticker, check_name, score FROM scores WHERE ticker IN (
-               SELECT ticker FROM scores GROUP BY ticker
-               ORDER BY min(score), avg(round(score * 10)), ticker LIMIT 10)""",
-        "scores",
-    ),
     "quality_trend": with_ctes(
         f"""SELECT check_date, check_name, {r('avg(score)', 3)} AS avg_score,
                    min(score) AS min_score,
@@ -376,11 +370,6 @@ STATEMENTS: dict[str, str] = {
             GROUP BY check_date, check_name""",
         "scope",
     ),
-    "tickers_needing_attention": with_ctes(
-        """SELECT ticker, check_name, score FROM scores WHERE score < 0.7
-           ORDER BY score, ticker, check_name LIMIT 100""",
-        "scores",
-    ),
     "upsert_scores": with_ctes(
         f"""SELECT ticker, check_date, check_name, score FROM ({back(1)})
             UNION ALL SELECT ticker, check_date, check_name, score / 2 FROM ({back(0)})""",
@@ -586,3 +575,13 @@ STATEMENTS: dict[str, str] = {
         "days_by_position",
     ),
 }
+
+# reports on scores with their details
+STATEMENTS["quality_heatmap_worst"] = f"""
+    WITH detailed AS ({STATEMENTS["quality_details"]})
+    SELECT ticker, check_name, score, details FROM detailed WHERE ticker IN (
+        SELECT ticker FROM detailed GROUP BY ticker
+        ORDER BY min(score), avg(round(score * 10)), ticker LIMIT 10)"""
+STATEMENTS["tickers_needing_attention"] = f"""
+    SELECT ticker, check_name, score, details, checked_at FROM ({STATEMENTS["quality_details"]})
+    WHERE score < 0.7 ORDER BY score, ticker, check_name LIMIT 100"""
