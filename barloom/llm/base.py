@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom.session import scratch_path
 
-ARROW_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+ARROW_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 _shipped: weakref.WeakSet = weakref.WeakSet()
 

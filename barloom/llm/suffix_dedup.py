@@ -31,10 +31,12 @@ from barloom.llm.suffix_array import common_prefixes, suffix_array
 LENGTH = 50
 ANCHOR = 24
 WINDOW = LENGTH - ANCHOR + 1
+# Bytes of short documents scanned together: intermediate arrays then stay small and in cache.
+TOGETHER = 1 << 17
 # Strings scanned at once; a longer text is scanned in pieces that overlap.
-PIECE = 1 << 20
+PIECE = 1 << 18
 # Anchors a task remembers before it hands them on.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
 # The filter's size at most, over all buckets.
 FILTER_BITS = 1 << 29
 KEYS_PER_BUCKET = 1 << 16
@@ -119,14 +121,14 @@ class Scanner:
         run's start within its document."""
         group, size, number = [], 0, 0
         for i, text in enumerate(texts):
-            if len(text) > PIECE:
+            if len(text) > TOGETHER:
                 for start in range(0, len(text) - LENGTH + 1, PIECE):
                     part = text[start : start + PIECE + LENGTH - 1]
                     yield self._found([part], np.array([i]), start)
                 continue
             group.append((i, text))
             size += len(text)
-            if size > PIECE // 2:
+            if size > TOGETHER:
                 yield self._found([t for _, t in group], np.array([n for n, _ in group]))
                 group, size = [], 0
         if group:
@@ -501,8 +503,8 @@ def _identity(text: Column) -> Column:
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """(doc, row, spans): byte spans to remove per document that has any, overlapping, in
-    order of their start. `doc` is doc_id or NO_ID, `row` the hash of the text, for rows that
-    share a doc_id."""
+    order of their start, each as start x 256 + length. `doc` is doc_id or NO_ID, `row` a hash
+    of the text, for rows that share a doc_id."""
     spark = prepared(documents.sparkSession)
     rows = documents.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), _identity(F.col("text")).alias("row"), "text"
@@ -519,9 +521,10 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         .select(
             "doc",
             "row",
-            F.struct(
-                (F.col("start") + F.col("begins")).alias("from"),
-                (F.col("start") + F.col("ends") + (LENGTH - 1)).alias("to"),
+            # one number: where it starts, and in the low byte how long it is
+            (
+                (F.col("start") + F.col("begins")) * 256
+                + (F.col("ends") - F.col("begins") + (LENGTH - 1))
             ).alias("span"),
         )
     )
@@ -529,14 +532,16 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     return hits.groupBy("doc", "row").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
-def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
+def _merged(spans: list[int] | None) -> list[tuple[int, int]]:
+    """Disjoint (from, to) of spans as `repeated_spans` has them."""
+    out: list[tuple[int, int]] = []
     for span in spans or []:
-        if out and span["from"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], span["to"])
+        begin, end = span >> 8, (span >> 8) + (span & 255)
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
-            out.append([span["from"], span["to"]])
-    return [(a, b) for a, b in out]
+            out.append((begin, end))
+    return out
 
 
 def _kept(text: bytes, removed: list[tuple[int, int]]) -> bytes:

@@ -153,6 +153,7 @@ def test_repeats_in_texts_of_few_letters(documents, rng, letters):
 
 def test_texts_longer_than_a_piece(documents, rng, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 300)
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 200)
     rows = [(i, "".join(rng.choice("abcd") for _ in range(700))) for i in range(4)]
     rows += [(9, rows[0][1][50:600] + rows[2][1][100:]), (10, rows[3][1])]
     scanner, frame = suffix_dedup.Scanner(), []
