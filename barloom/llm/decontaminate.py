@@ -1,11 +1,10 @@
-"""Benchmark passages in documents, found through CGK embeddings and bit-sampling LSH.
-
-A CGK embedding walks through a string with shared random bits and writes the
-character under the walk at every step; strings of small edit distance come out with
-small Hamming distance. Sampled positions of several embeddings are LSH keys: item-sized
-windows of documents are looked up in the items' tables, and what is found is
-verified with the exact edit distance. Windows are laid where a document shares a few
-characters in a row with an item, at the same place in the window as in the item.
+"""Benchmark passages in documents, found through pieces with at most one edit.
+
+Items are cut into as many pieces as make sure that an item within its limit of edits has
+a piece with at most one of them, wherever the edits are. Pieces are looked up in
+documents by hashes that leave one character out; the pairs and fours of pieces around
+what is found are compared bit-parallel, and what is left is verified with the exact edit
+distance. No step loses an item that is within the limit.
 """
 
 from __future__ import annotations
@@ -22,21 +21,20 @@ from pyspark.sql import functions as F
 from barloom.llm.base import prepared, small_groups
 
 SIMILARITY = 0.8
-# Characters in a row that a window and its item share somewhere: of items of 80 to 390 characters
-# with random edits 99 % do at one edit in seven characters, 96 % at one in five, the limit.
+# Items of fewer characters count only if they are there exactly.
 SEED = 14
+# Characters of a piece at most; there may be fewer so that items have pieces enough.
+LONGEST = 9
+# Characters are told apart by their code modulo this, letters and digits of ASCII all of them.
+SLOTS = 97
 # Starts of windows of one item closer than this are one window; the verification spans both.
 GRAIN = 4
-# LSH: WALKS embeddings, TABLES samples of SAMPLED positions each. Target recall of seeds and keys
-# together: 0.9 for random edits at the limit of similarity 0.8, where it is lowest (see tests/llm).
-WALKS, TABLES, SAMPLED = 8, 16, 3
-# Of the pairs at that limit 99 % agree in this share of one embedding's steps at least, so the
-# exact distance is computed from there on.
-LEAST_AGREEMENT = 0.3
-# Windows embedded at once.
-AT_ONCE = 2048
-# Characters of items that are broadcast at once; a larger benchmark takes several scans.
-BLOCK_CHARS = 1_000_000
+# Parts compared at once, and characters of documents searched together: arrays stay in cache.
+AT_ONCE = 8192
+TOGETHER = 50_000
+# Characters of items that are broadcast at once, in tables of about 160 bytes for each; a larger
+# benchmark takes several scans.
+BLOCK_CHARS = 500_000
 LEAKS = "doc_id long, item_id long, distance int, similarity double, ends long"
 
 
@@ -65,21 +63,6 @@ def normalised(text: str) -> np.ndarray:
     return out[: len(out) - 1] if len(out) and out[-1] == 32 else out
 
 
-def _seeds(codes: np.ndarray) -> np.ndarray:
-    """Hash of the SEED characters from each position on, by doubling 1, 2, 4, 8, then 8 + 4 + 2."""
-    step = 0x9E3779B97F4A7C15
-    power = lambda n: np.uint64(pow(step, n, 1 << 64))
-    if len(codes) < SEED:
-        return np.zeros(0, dtype=np.uint64)
-    one = codes.astype(np.uint64) + np.uint64(1)
-    two = one[:-1] * power(1) + one[1:]
-    four = two[:-2] * power(2) + two[2:]
-    eight = four[:-4] * power(4) + four[4:]
-    twelve = eight[:-4] * power(4) + four[8:]
-    whole = twelve[:-2] * power(2) + two[12:]
-    return (whole ^ (whole >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-
-
 def within(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int] | None:
     """Smallest edit distance of `pattern` to any part of `text`, and where the first such part
     ends; None above `most`. Bit-parallel, one machine word as long as the pattern."""
@@ -109,96 +92,289 @@ def within(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int]
     return (best, end) if best <= most else None
 
 
-class Embedding:
-    """WALKS random walks; the bits that move them depend on step and character only."""
-
-    def __init__(self, seed: int = 42):
-        rng = np.random.default_rng(seed)
-        self.steps = rng.integers(0, 1 << 63, size=(4096, WALKS), dtype=np.uint64) | np.uint64(1)
-        self.fractions = rng.random((WALKS, TABLES, SAMPLED))
-
-    def keys(self, strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """LSH keys (string x table) and the embeddings (string x step x walk) in one byte per
-        step, zero where a string has ended; strings are rows, zeros after their lengths.
-
-        A walk stays or moves on by a fair bit, so two steps per character read a string
-        nearly whole; positions are sampled over these. A walk that has left the string
-        meets zeros, on which no bit moves it.
-        """
-        count = len(strings)
-        width = int(lengths.max()) + 1
-        mixed = np.zeros((count, width), dtype=np.uint64)
-        own = strings[:, : width - 1].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed[:, :-1] = own ^ (own >> np.uint64(31))
-        flat = mixed.ravel()
-        at = np.repeat(np.arange(count)[:, None] * width, WALKS, axis=1)
-        positions = (self.fractions[None] * (2 * lengths)[:, None, None, None]).astype(np.int64)
-        trace = np.zeros((int(positions.max()) + 1, count, WALKS), dtype=np.uint64)
-        for step in range(len(trace)):
-            met = flat[at]
-            trace[step] = met
-            at += (met * self.steps[step % 4096] >> np.uint64(63)).view(np.int64)
-        row = np.arange(count)[:, None, None]
-        walk = np.arange(WALKS)[None, :, None]
-        keys = np.arange(WALKS * TABLES, dtype=np.uint64).reshape(1, WALKS, TABLES) + np.zeros(
-            (count, 1, 1), dtype=np.uint64
-        )
-        for place in range(SAMPLED):
-            keys = keys * np.uint64(0xD6E8FEB86659FD93) + trace[positions[..., place], row, walk]
-        return keys.reshape(count, -1), (trace >> np.uint64(56)).astype(np.uint8).swapaxes(0, 1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hash(codes: np.ndarray, length: int) -> np.ndarray:
+    """Polynomial hash of the `length` characters from each position on."""
+    if len(codes) < length:
+        return np.zeros(0, dtype=np.uint64)
+    one = codes.astype(np.uint64) + np.uint64(1)
+    count = len(codes) - length + 1
+    out = one[:count].copy()
+    for i in range(1, length):
+        out *= _STEP
+        out += one[i : i + count]
+    return out
+
+
+def _salted(hashes: np.ndarray, salt: int) -> np.ndarray:
+    hashes = hashes + np.uint64(salt * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+    return (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Bits:
+    """A set of hashes, of which it lets others pass rarely and loses none."""
+
+    def __init__(self, hashes: np.ndarray):
+        width = min(25, max(12, int(16 * len(hashes) + 1).bit_length()))
+        self.shift = np.uint64(64 - width)
+        self.maybe = np.zeros(1 << width, dtype=bool)
+        self.maybe[hashes >> self.shift] = True
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        return self.maybe[hashes >> self.shift]
+
+
+class Pieces:
+    """Pieces of one length, found in texts with at most one edit.
+
+    One half of such a piece is there without edits; the other has a character replaced
+    (a hash that leaves the place out), missing (the piece's hash without it) or too many
+    (a hash of one more that leaves it out).
+    """
+
+    def __init__(self, pieces: np.ndarray):
+        count, self.length = pieces.shape
+        m, self.left = self.length, self.length // 2
+        rows = pieces.astype(np.uint64) + np.uint64(1)
+        powers = np.array([pow(int(_STEP), n, 1 << 64) for n in range(m + 1)], dtype=np.uint64)
+        self.powers = powers
+        total = lambda x: (x * powers[: x.shape[1]][::-1]).sum(axis=1, dtype=np.uint64)
+        # the exact beginning before an edit's place, and the exact end after it
+        self.begins = {n: Bits(_salted(total(rows[:, :n]), 0)) for n in range(self.left, m)}
+        self.ends = {n: Bits(_salted(total(rows[:, -n:]), 0)) for n in range(m - self.left, m)}
+        # a table for each way to edit, so that each stays in cache
+        made: dict[int, list[np.ndarray]] = {}
+        for j in range(m):
+            blank, less = rows.copy(), np.delete(rows, j, axis=1)
+            blank[:, j] = 0
+            more = np.insert(rows, j, 0, axis=1)
+            for salt, edited in ((self.replaced(j), blank), (self.missing(j), less), (self.extra(j), more)):
+                made.setdefault(salt, []).append(_salted(total(edited), salt))
+        self.tables = {}
+        for salt, keys in made.items():
+            number = np.tile(np.arange(count, dtype=np.int64), len(keys))
+            keys = np.concatenate(keys)
+            order = np.argsort(keys, kind="stable")
+            keys, number = keys[order], number[order]
+            # of equal keys: where the next ones begin
+            after = np.searchsorted(keys, keys, side="right")
+            self.tables[salt] = keys, after, number, Bits(keys)
+
+    def replaced(self, j: int) -> int:
+        return 1 + j
+
+    def missing(self, j: int) -> int:
+        # without it, what is left says the rest: one look for all places of a half
+        return 100 + (j >= self.left)
+
+    def extra(self, j: int) -> int:
+        return 200 + j
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, piece) of every place where a piece is with at most one edit."""
+        pairs = [np.zeros(0, dtype=np.int64)]
+        for first in range(0, len(codes), TOGETHER):
+            found = self._find(codes[first : first + TOGETHER + self.length])
+            pairs.append((found[0] + first) << 32 | found[1])
+        pairs = np.concatenate(pairs)
+        pairs.sort()
+        pairs = pairs[np.diff(pairs, prepend=-1) != 0]
+        return pairs >> 32, pairs & 0xFFFFFFFF
+
+    def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        m, left = self.length, self.left
+        hashes = {n: _hash(codes, n) for n in (m - 1, m, m + 1)}
+        one = codes.astype(np.uint64) + np.uint64(1)
+        starts, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def look(at: np.ndarray, size: int, salt: int, place: int | None) -> None:
+            at = at[np.searchsorted(at, 0) : np.searchsorted(at, len(hashes[size]))]
+            own = hashes[size][at]
+            if place is not None:
+                own = own - one[at + place] * self.powers[size - 1 - place]
+            own = _salted(own, salt)
+            keys, after, piece, bits = self.tables[salt]
+            few = np.flatnonzero(bits.holds(own))
+            own, at = own[few], at[few]
+            low = np.searchsorted(keys, own)
+            low[low == len(keys)] = 0
+            hit = np.flatnonzero(keys[low] == own)
+            low, at = low[hit], at[hit]
+            many = after[low] - low
+            entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            starts.append(np.repeat(at, many))
+            numbers.append(piece[entry])
+
+        # edits in the second half: the beginning is exact up to their place, so fewer and fewer
+        at = np.arange(len(hashes[m - 1]))
+        own = _hash(codes, left)[: len(at)]
+        for j in range(left, m):
+            some = np.flatnonzero(self.begins[j].holds(_salted(own, 0)))
+            at, own = at[some], own[some]
+            look(at, m, self.replaced(j), j)
+            look(at, m + 1, self.extra(j), j)
+            if j == left:
+                look(at, m - 1, self.missing(left), None)
+            if j < m - 1:
+                own = own * _STEP + one[at + j]
+        # edits in the first half: likewise from the end
+        at = np.arange(len(codes) - (m - left) + 1)
+        own = _hash(codes, m - left)
+        for j in range(left - 1, -1, -1):
+            n = m - 1 - j
+            some = np.flatnonzero(self.ends[n].holds(_salted(own, 0)))
+            at, own = at[some], own[some]
+            look(at - j - 1, m, self.replaced(j), j)
+            if j:
+                look(at - j - 2, m + 1, self.extra(j), j)
+            if j == left - 1:
+                look(at - j, m - 1, self.missing(0), None)
+            some = np.flatnonzero(at > 0)
+            at = at[some] - 1
+            own = own[some] + one[at] * self.powers[n]
+        return np.concatenate(starts), np.concatenate(numbers)
+
+
+class Parts:
+    """Stretches of items, each with the edits it may have; 64 characters are one word."""
+
+    def __init__(self, strings: list[np.ndarray], most: list[int]):
+        self.sizes = np.array([len(s) for s in strings], dtype=np.int64)
+        self.most = np.array(most, dtype=np.int64)
+        # words of all stretches one after another
+        self.first = np.cumsum([0, *((len(s) + 63) // 64 for s in strings)])
+        short = int(self.sizes.max(initial=0)) <= 32  # then half a word is enough, and faster
+        self.word, self.signed = (np.uint32, np.int32) if short else (np.uint64, np.int64)
+        self.masks = np.zeros((int(self.first[-1]), SLOTS), dtype=self.word)
+        for row, codes in zip(self.first.tolist(), strings, strict=False):
+            place = np.arange(len(codes), dtype=np.uint64)
+            bits = (np.uint64(1) << (place & np.uint64(63))).astype(self.word)
+            np.bitwise_or.at(self.masks, (row + (place >> np.uint64(6)).astype(np.int64), codes % SLOTS), bits)
+
+    def near(self, part: np.ndarray, begin: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Whether the part is within its edits somewhere in the text from `begin`, of which
+        it reads the part's size and twice its edits. Characters that share a slot are taken
+        for equal, so it may say yes too often, never no."""
+        out = np.zeros(len(part), dtype=bool)
+        if not len(part):
+            return out
+        before = max(0, -int(begin.min()))
+        after = max(0, int((begin + self.sizes[part] + 2 * self.most[part]).max()) - len(slots))
+        slots = np.pad(slots, (before, after + int(self.sizes.max() + 2 * self.most.max())), constant_values=32)
+        begin = begin + before
+        order = np.argsort(self.sizes[part], kind="stable")
+        for first in range(0, len(part), AT_ONCE):
+            own = order[first : first + AT_ONCE]
+            out[own] = self._near(part[own], begin[own], slots)
+        return out
+
+    def _near(self, part: np.ndarray, begin: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Bit-parallel as in `within`, over several words: what a word's last row gains or
+        loses goes on to the next."""
+        size, most = self.sizes[part], self.most[part]
+        one = self.word(1)
+        words = int((size.max() + 63) // 64)
+        up = [np.full(len(part), ~self.word(0)) for _ in range(words)]
+        down = [np.zeros(len(part), dtype=self.word) for _ in range(words)]
+        flat = self.masks.ravel()
+        final = (size - 1) // 64
+        ends = [final == w for w in range(words)]
+        last = [np.where(final == w, (size - 1) % 64, 63).astype(self.word) for w in range(words)]
+        rows = [np.minimum(self.first[part] + w, len(self.masks) - 1) * SLOTS for w in range(words)]
+        score, best = size.astype(self.signed), size.astype(self.signed)
+        reach = size + 2 * most
+        least = int(reach.min())
+        for step in range(int(reach.max())):
+            met = slots[begin + step]
+            gain = loss = self.word(0)
+            for w in range(words):
+                equal = flat[rows[w] + met]
+                vertical = equal | down[w]
+                equal = equal | loss
+                horizontal = (((equal & up[w]) + up[w]) ^ up[w]) | equal
+                up_h = down[w] | ~(horizontal | up[w])
+                down_h = up[w] & horizontal
+                more, less = up_h >> last[w] & one, down_h >> last[w] & one
+                change = more.view(self.signed) - less.view(self.signed)
+                score += change if words == 1 else change * ends[w]
+                up_h = up_h << one | gain
+                down_h = down_h << one | loss
+                up[w] = down_h | ~(vertical | up_h)
+                down[w] = up_h & vertical
+                gain, loss = more, less
+            np.minimum(best, score if step < least else np.where(step < reach, score, best), out=best)
+        return best <= most
 
 
 class Benchmark:
-    """Items of one block, their seeds and their LSH tables by length."""
+    """Items of one block, cut into pieces of which one at least has a single edit at most.
+
+    An item of at most k edits in k // 2 + 1 pieces has fewer than two in one of them; of
+    the pairs and the fours of pieces one likewise has fewer than two for each piece, and
+    holds such a piece. So a place is proposed by a piece, and passes on to the exact
+    distance if the pair and the four around that piece are within their edits. None of
+    these steps loses an item that is within SIMILARITY.
+    """
 
     def __init__(self, items: list[tuple[int, str]]):
         coded = [(i, normalised(t or "")) for i, t in items]
         self.items = [(i, c) for i, c in coded if len(c) >= SEED]
         self.short = [(i, c.tobytes()) for i, c in coded if 0 < len(c) < SEED]
-        self.embedding = Embedding()
-        seeds = [_seeds(c) for _, c in self.items]
-        hashes = np.concatenate([*seeds, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
-        place = np.concatenate([*(np.arange(len(s)) for s in seeds), np.zeros(0, np.int64)])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owner, self.place = hashes[order], owner[order], place[order].astype(np.int64)
-        # one bit per hash prefix: most positions of a text are settled by one look here
-        self.prefix_bits = max(16, int(16 * len(hashes) + 1).bit_length())
-        self.maybe = np.zeros(1 << self.prefix_bits, dtype=bool)
-        self.maybe[hashes >> np.uint64(64 - self.prefix_bits)] = True
         self.lengths = np.array([len(c) for _, c in self.items], dtype=np.int64)
-        # by length and key, as windows are compared with items of their own size
-        self.tables: dict[tuple[int, int], list[int]] = {}
-        self.embedded: list[np.ndarray] = []
-        for begin in range(0, len(self.items), AT_ONCE):
-            part = self.items[begin : begin + AT_ONCE]
-            lengths = self.lengths[begin : begin + AT_ONCE]
-            strings = np.zeros((len(part), int(lengths.max())), dtype=np.uint32)
-            for row, (_, codes) in enumerate(part):
-                strings[row, : len(codes)] = codes
-            keys, embedded = self.embedding.keys(strings, lengths)
-            self.embedded += [e[: 2 * n].copy() for e, n in zip(embedded, lengths.tolist(), strict=True)]
-            for row, own in enumerate(keys.tolist()):
-                for key in own:
-                    self.tables.setdefault((len(part[row][1]), key), []).append(begin + row)
+        self.most = ((1 - SIMILARITY) * self.lengths + 1e-9).astype(np.int64)
+        found: dict[int, list[tuple[np.ndarray, int, int, int, int]]] = {}
+        strings: list[list[np.ndarray]] = [[], []]
+        edits: list[list[int]] = [[], []]
+        begins: list[list[int]] = [[], []]
+        for number, (_, codes) in enumerate(self.items):
+            pieces = int(self.most[number]) // 2 + 1
+            size = min(LONGEST, len(codes) // pieces)
+            bounds = [i * len(codes) // pieces for i in range(pieces + 1)]
+            for i in range(pieces):
+                for level, width in enumerate((2, 4)):
+                    if i % width == 0:
+                        end = min(i + width, pieces)
+                        # items cut into long pieces are short; a part is one machine word
+                        strings[level].append(codes[bounds[i] : bounds[end]])
+                        edits[level].append(2 * (end - i) - 1)
+                        begins[level].append(bounds[i])
+                own = codes[bounds[i] : bounds[i] + size]
+                two, four = len(strings[0]) - 1, len(strings[1]) - 1
+                found.setdefault(size, []).append((own, number, bounds[i], two, four))
+        self.whole = Parts([c for _, c in self.items], [m + GRAIN for m in self.most.tolist()])
+        self.parts = [Parts(s, e) for s, e in zip(strings, edits, strict=True)]
+        self.begins = [np.array(b, dtype=np.int64) for b in begins]
+        self.pieces = []
+        for size in sorted(found):
+            own = np.stack([piece for piece, *_ in found[size]])
+            rest = np.array([r for _, *r in found[size]], dtype=np.int64).T
+            self.pieces.append((Pieces(own), *rest))
 
     def windows(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """(start, item) of every window that shares a seed with an item, in joined documents."""
-        hashes = _seeds(codes)
-        at = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - self.prefix_bits)])
-        left = np.searchsorted(self.hashes, hashes[at], side="left")
-        right = np.searchsorted(self.hashes, hashes[at], side="right")
-        found = np.flatnonzero(right > left)
-        at, left, many = at[found], left[found], (right - left)[found]
-        at = np.repeat(at, many)
-        entry = np.repeat(left - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        inside = np.searchsorted(ends, at, side="right") == np.searchsorted(ends, at + SEED - 1, side="right")
-        start = at[inside] - self.place[entry[inside]]
-        document = np.searchsorted(ends, at[inside], side="right")
-        owner = self.owner[entry[inside]]
-        grains = np.stack([document, owner, (start + (1 << 40)) // GRAIN], axis=1)
-        _, one = np.unique(grains, axis=0, return_index=True)
-        return np.stack([document[one], start[one], owner[one]], axis=1)
+        """(document, start, item) of every window that may hold its item, in joined documents;
+        the item begins at most as many characters from there as it may have edits."""
+        slots = (codes % SLOTS).astype(np.int64)
+        out = [np.zeros((0, 3), dtype=np.int64)]
+        for pieces, item, place, *parts in self.pieces:
+            start, number = pieces.find(codes)
+            for level, part in enumerate(parts):
+                own = part[number]
+                known = self.parts[level]
+                most = known.most[own]
+                inside = place[number] - self.begins[level][own]
+                near = known.near(own, start - inside - most, slots)
+                start, number = start[near], number[near]
+            document = np.searchsorted(ends, start, side="right")
+            out.append(np.stack([document, start - place[number], item[number]], axis=1))
+        windows = np.concatenate(out)
+        if not len(windows):
+            return windows
+        one = np.concatenate([windows[:, :1], windows[:, 1:2] // GRAIN, windows[:, 2:]], axis=1)
+        windows = windows[np.unique(one, axis=0, return_index=True)[1]]
+        most = self.most[windows[:, 2]] + GRAIN
+        return windows[self.whole.near(windows[:, 2], windows[:, 1] - most, slots)]
 
     def search(self, texts: list[str]) -> list[list[tuple[int, int, float, int]]]:
         """Per text: item_id, distance, similarity and end of each item that it holds."""
@@ -207,11 +383,8 @@ class Benchmark:
         begins = np.concatenate([[0], ends[:-1]])
         codes = np.concatenate([*coded, np.zeros(0, np.uint32)])
         best: list[dict[int, tuple[int, int, float, int]]] = [{} for _ in texts]
-        if len(self.items) and len(codes) >= SEED:
-            windows = self.windows(codes, ends)
-            windows = windows[np.argsort(self.lengths[windows[:, 2]], kind="stable")]
-            for begin in range(0, len(windows), AT_ONCE):
-                self._verify(windows[begin : begin + AT_ONCE], codes, begins, ends, best)
+        if len(self.items) and len(codes):
+            self._verify(self.windows(codes, ends), codes, begins, ends, best)
         for item, whole in self.short:
             for number, c in enumerate(coded):
                 place = c.tobytes().find(whole)
@@ -222,37 +395,24 @@ class Benchmark:
         return [[own[k] for k in sorted(own)] for own in best]
 
     def _verify(self, windows, codes, begins, ends, best) -> None:
+        """The exact distance, once for windows of an item that overlap."""
+        windows = windows[np.lexsort((windows[:, 1], windows[:, 2], windows[:, 0]))]
         document, start, owner = windows.T
-        lengths = self.lengths[owner]
-        reach = np.arange(int(lengths.max()))[None, :]
-        index = start[:, None] + reach
-        outside = (index < begins[document][:, None]) | (index >= ends[document][:, None])
-        strings = codes[np.clip(index, 0, len(codes) - 1)]
-        strings[outside & (reach < lengths[:, None])] = 32  # before or after the document
-        strings[reach >= lengths[:, None]] = 0
-        keys, embedded = self.embedding.keys(strings, lengths)
-        for row, own in enumerate(keys.tolist()):
-            length = int(lengths[row])
-            candidates = {n for key in own for n in self.tables.get((length, key), ())}
-            if not candidates:
-                continue
-            d = int(document[row])
-            most = int((1 - SIMILARITY) * length + 1e-9)
-            low = max(int(begins[d]), int(start[row]) - most - GRAIN)
-            high = min(int(ends[d]), int(start[row]) + length + most + GRAIN)
-            for number in sorted(candidates):
-                item, pattern = self.items[number]
-                theirs = self.embedded[number]
-                same = (embedded[row, : 2 * length] == theirs) & (theirs != 0)
-                if same.mean(axis=0).max() < LEAST_AGREEMENT:
-                    continue
-                if item in best[d] and best[d][item][1] == 0:
-                    continue
-                found = within(pattern, codes[low:high], most)
-                if found and (item not in best[d] or found[0] < best[d][item][1]):
-                    distance, end = found
-                    end += low - int(begins[d])
-                    best[d][item] = (item, distance, 1 - distance / length, end)
+        apart = np.ones(len(windows), dtype=bool)
+        apart[1:] = (document[1:] != document[:-1]) | (owner[1:] != owner[:-1])
+        apart[1:] |= start[1:] - start[:-1] > 2 * self.most[owner[1:]]
+        first = np.flatnonzero(apart)
+        last = np.append(first[1:], len(windows))[: len(first)] - 1
+        for a, b in zip(first.tolist(), last.tolist(), strict=True):
+            d, number = int(document[a]), int(owner[a])
+            item, pattern = self.items[number]
+            length, most = len(pattern), int(self.most[number])
+            low = max(int(begins[d]), int(start[a]) - most - GRAIN)
+            high = min(int(ends[d]), int(start[b]) + length + most + GRAIN)
+            found = within(pattern, codes[low:high], most)
+            if found and (item not in best[d] or found[0] < best[d][item][1]):
+                distance, end = found
+                best[d][item] = (item, distance, 1 - distance / length, end + low - int(begins[d]))
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Benchmark]:

@@ -106,3 +106,60 @@ def test_blocks_find_the_same(documents, benchmark, items, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 4_000)
     assert sorted(map(tuple, decontaminate.leaks(frame, benchmark).collect())) == whole
     assert len(whole) >= len(items)
+
+
+def spread(rng, text, every, kinds):
+    """An edit at every so many characters."""
+    out = []
+    for place, char in enumerate(text, 1):
+        kind = rng.choice(kinds) if place % every == 0 else ""
+        out.append({"": char, "replaced": "#", "missing": "", "extra": char + "#"}[kind])
+    return "".join(out).replace("#", "z")
+
+
+@pytest.mark.parametrize("kinds", [["replaced"], ["missing"], ["extra"], ["replaced", "missing", "extra"]])
+@pytest.mark.parametrize("every", [14, 12, 10, 8, 6, 5])
+def test_evenly_spread_edits_are_all_found(rng, items, every, kinds):
+    block = Benchmark([*items, (70, "twenty characters ab"), (71, "just over fourteen")])
+    texts, expected = [], []
+    for number, (item, codes) in enumerate(block.items):
+        text = "".join(map(chr, codes))
+        changed = spread(rng, text, every, kinds)
+        around = [sentence(rng, 10), changed, sentence(rng, 10)]
+        texts.append([" ".join(around), changed, " ".join(around[1:]), " ".join(around[:2])][number % 4])
+        expected.append((item, codes, text))
+    found = block.search(texts)
+    for (item, codes, _), text, own in zip(expected, texts, found):
+        best = within(codes, normalised(text), int(0.2 * len(codes) + 1e-9))
+        assert best is None or (item, best[0]) in {(i, distance) for i, distance, _, _ in own}
+    assert every == 5 or sum(map(bool, found)) > 50
+
+
+def test_edits_in_each_word_are_all_found(rng, items):
+    block = Benchmark(items)
+    texts = []
+    for _, codes in block.items:
+        words = "".join(map(chr, codes)).split()
+        texts.append(" ".join(w[:2] + "q" + w[3:] if len(w) > 4 else w for w in words))
+    within_limit = [within(c, normalised(t), int(0.2 * len(c) + 1e-9)) for (_, c), t in zip(block.items, texts)]
+    found = block.search(texts)
+    assert sum(map(bool, within_limit)) > 30
+    for (item, _), best, own in zip(block.items, within_limit, found):
+        assert best is None or (item, best[0], best[1]) in {(i, d, end) for i, d, _, end in own}
+
+
+def test_search_is_brute_force(rng):
+    """Every pair of the rule, with all its details, and no other."""
+    letters = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
+    block = Benchmark([(i, letters(rng.randint(14, 60))) for i in range(25)])
+    texts = []
+    for _ in range(150):
+        text = "".join(map(chr, rng.choice(block.items)[1]))
+        texts.append(letters(rng.randint(0, 30)) + edited(rng, text, rng.randint(0, len(text) // 4)) + letters(rng.randint(0, 30)))
+    found = block.search(texts)
+    for text, own in zip(texts, found):
+        brute = {}
+        for item, codes in block.items:
+            if best := within(codes, normalised(text), int(0.2 * len(codes) + 1e-9)):
+                brute[item] = (item, best[0], 1 - best[0] / len(codes), best[1])
+        assert own == [brute[i] for i in sorted(brute)]
