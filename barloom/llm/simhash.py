@@ -12,7 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.base import map_batches, prepared, stored
@@ -43,14 +43,16 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(documents: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and its fingerprint as a signed long, one row per input row; NULL text: 0."""
+    """doc_id, of whatever type, and its fingerprint as a signed long, one row per input row;
+    NULL text: 0."""
     prepared(documents.sparkSession)
 
     def compute(columns: dict[str, list]) -> dict[str, list]:
         prints = np.array([fingerprint(t or "", words) for t in columns["text"]], dtype=np.uint64)
         return {"doc_id": columns["doc_id"], "fp": prints.astype(np.int64)}
 
-    return map_batches(documents.select("doc_id", "text"), compute, "doc_id long, fp long")
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return map_batches(documents.select("doc_id", "text"), compute, f"doc_id {kind}, fp long")
 
 
 def _masks(width: int, radius: int) -> list[int]:
@@ -87,6 +89,15 @@ def links(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataFrame:
     return probes.join(entries, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
+def _rooted(firsts: DataFrame, distance: int) -> DataFrame:
+    """fp, first and the root of its component, of a table with one row per fingerprint."""
+    distinct = stored(firsts, "simhash-distinct")
+    star = stars(links(distinct, distance))
+    return distinct.join(star, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(documents: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, one row per input row.
 
@@ -97,11 +108,7 @@ def near_duplicates(documents: DataFrame, words: int = 3, distance: int = 3) ->
     it has an id); repeated rows give repeated rows; an empty table gives no rows.
     """
     prints = stored(fingerprints(documents, words), "simhash")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    star = stars(links(distinct, distance))
-    rooted = distinct.join(star, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), distance)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = rooted.join(named, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select(
@@ -109,13 +116,32 @@ def near_duplicates(documents: DataFrame, words: int = 3, distance: int = 3) ->
     )
 
 
+def _rank(documents: DataFrame) -> Column:
+    """Orders rows by doc_id, NULLs last, then text by its digest, then the other columns by
+    their hash; rows of equal rank are equal. Without NULLs, so that it can be joined."""
+    hashed = [F.col(name) for name, kind in documents.dtypes if "map<" not in kind]
+    return F.struct(
+        F.isnull("doc_id").alias("nameless"),
+        F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
+        F.coalesce(F.md5("text"), F.lit("")).alias("digest"),
+        F.xxhash64(*hashed).alias("others"),
+    )
+
+
 def without_near_duplicates(documents: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
-    """The documents, all columns, but only the one with the smallest doc_id of each component.
+    """The documents, all columns, but only one row of each component: of the smallest doc_id,
+    and of rows that share it the first by `_rank`.
 
-    Of rows that repeat a doc_id one stays. A row without doc_id can't be named as a
-    copy of another and stays.
+    Each row is judged on its own text, so a doc_id with several texts may keep several. Rows
+    without doc_id are no copies of rows that have one, only of each other.
     """
-    found = near_duplicates(documents, words, distance)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(documents.where("doc_id IS NULL"))
+    whole = F.struct(*[documents[c] for c in documents.columns]).alias("whole")
+    rows = documents.select(whole, _rank(documents).alias("rank"))
+    given = rows.select(F.col("rank").alias("doc_id"), F.col("whole.text").alias("text"))
+    prints = fingerprints(given, words)
+    first = [F.min(F.when(F.col("doc_id.nameless") == without, F.col("doc_id"))) for without in (False, True)]
+    rooted = _rooted(prints.groupBy("fp").agg(F.struct(*first).alias("first")), distance)
+    least = [F.min(F.col("first")[f"col{n}"]) for n in (1, 2)]
+    kept = rooted.groupBy("root").agg(F.array(*least).alias("both"))
+    kept = kept.select(F.explode("both").alias("rank")).where("rank IS NOT NULL")
+    return rows.join(kept, "rank", "left_semi").dropDuplicates(["rank"]).select("whole.*")

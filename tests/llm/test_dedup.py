@@ -181,3 +181,16 @@ def test_cut_texts_stay_valid_and_keep_their_columns(documents):
     cut = suffix_dedup.without_repeats(documents(rows))
     assert cut.columns == documents(rows).columns
     assert sorted((r.doc_id, r.text) for r in cut.collect()) == [(1, passage), (2, "üß"), (3, ""), (4, None)]
+
+
+def test_near_duplicates_are_judged_by_row(documents):
+    """A second row of a doc_id keeps not its copy but its own text; of NULL ids one copy stays."""
+    shared, own = "one shared text of eight words in all", "entirely different prose of the second row here"
+    nameless = "a text that only rows without an id ever have"
+    rows = [(1, shared), (2, shared), (2, own), (None, nameless), (None, nameless), (None, shared)]
+    for order in (rows, rows[::-1]):
+        for parts in (1, 5):
+            frame = documents(order).repartition(parts, "text")
+            kept = simhash.without_near_duplicates(frame)
+            assert kept.columns == frame.columns
+            assert rows_of(kept.select("doc_id", "text")) == sorted([(1, shared), (2, own), (None, nameless), (None, shared)], key=repr)
