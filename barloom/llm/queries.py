@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, decontaminate, language, merkle, perspectives, simhash, suffix_dedup, token_counts, toxicity, warc
+from barloom.llm import (
+    byte_bpe,
+    decontaminate,
+    divergence,
+    language,
+    licenses,
+    merkle,
+    perspectives,
+    prefix_trie,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from barloom.llm.base import crc_bucket, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,6 +83,18 @@ def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.perspective_samples(table(spark, sf_dir, "conversations"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
@@ -80,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash": op9_simhash,
     "op10_perspectives": op10_perspectives,
+    "op11_license_scan": op11_license_scan,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op3_warc": """
@@ -132,4 +161,7 @@ ORACLES: dict[str, str] = {
                           ',' ORDER BY starts) FILTER (WHERE own), '') AS masks
         FROM based GROUP BY conv_id, perspective, sample
     """,
+    "op11_license_scan": licenses.oracle_sql(),
+    "op12_source_divergence": divergence.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }
