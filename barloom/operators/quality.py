@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import ladder, lit_or_col, rounded, whole_hours
 from barloom.operators.returns import series
-from barloom.operators.rolling import with_z_scores
+from barloom.operators.rolling import OUTLIER_ROWS, with_z_scores
 
 # fixed values: check names and the score below which a check fails
 FRESHNESS, COMPLETENESS, OUTLIERS, GAPS = "freshness", "completeness", "outliers", "gaps"
@@ -194,6 +194,168 @@ def quality_scores(
     return fresh.unionByName(recent).withColumn("checked_at", lit_or_col(as_of_time))
 
 
+# -- scores of many days -------------------------------------------------------
+
+COUNTS = ("total_days", "total_transitions", "large_gaps", "total_points", "outlier_count")
+
+
+def _span(start: Column, end: Column, first: Column, last: Column, **amounts: Column) -> Column:
+    """What is added on the first day of a span of days and taken away after its last."""
+    begin = F.greatest(start, first)
+
+    def change(day: Column, sign: int) -> Column:
+        values = [(amounts.get(c, F.lit(0)) * sign).cast("bigint").alias(c) for c in COUNTS]
+        return F.struct(day.alias("day"), *values)
+
+    after = F.date_add(end, 1)
+    return (
+        F.when((end < begin) | (begin > last), F.array())
+        .when(after > last, F.array(change(begin, 1)))
+        .otherwise(F.array(change(begin, 1), change(after, -1)))
+    )
+
+
+def _z_within(bars: Column, since: Column) -> Column:
+    """|z| of `close` against those of the bars before it that are not older than `since`."""
+    start = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "total", "mean", "m2")])
+
+    def add(s: Column, bar: Column) -> Column:
+        n, delta = s["n"] + 1.0, bar["close"] - s["mean"]
+        mean = s["mean"] + delta / n
+        m2 = s["m2"] + delta * (bar["close"] - mean)
+        total = s["total"] + bar["close"]
+        return F.struct(n.alias("n"), total.alias("total"), mean.alias("mean"), m2.alias("m2"))
+
+    def z(s: Column) -> Column:
+        std = F.sqrt(F.try_divide(s["m2"], s["n"] - 1.0))
+        return F.when(std > 0, F.abs((F.col("close") - s["total"] / s["n"]) / std))
+
+    known = F.filter(bars, lambda bar: (bar["date"] >= since) & bar["close"].isNotNull())
+    return F.aggregate(known, start, add, z)
+
+
+def _changes_of_bar(first: Column, last: Column, t: Thresholds) -> Column:
+    """A bar's changes of the counts, by as-of day: it enters a check's days when it is
+    known and leaves them when its transition, or for outliers the bar itself, is too old."""
+    day, prev, gap = F.col("date"), F.col("prev_date"), F.col("gap")
+    one, reach = F.lit(1), t.history_days + t.warmup_days
+    flag = lambda condition: F.coalesce(condition.cast("int"), F.lit(0))
+    month = _span(day, F.date_add(prev, t.completeness_days), first, last, total_days=one)
+    history = _span(
+        day,
+        F.date_add(prev, t.history_days),
+        first,
+        last,
+        total_transitions=one,
+        large_gaps=flag(gap > t.large_gap_days),
+    )
+
+    def outliers(start: Column, end: Column, z: Column) -> Column:
+        counted = {"total_points": flag(z.isNotNull()), "outlier_count": flag(z > t.outlier_z)}
+        return _span(start, end, first, last, **counted)
+
+    leaves = F.least(last, F.date_add(day, t.history_days))
+    # where the warm-up days cut bars off that z looks back to, z differs from day to day
+    whole = F.coalesce(F.array_min("seen.date") >= F.date_sub(leaves, reach), F.lit(True))
+    as_of_days = F.sequence(F.greatest(day, first), leaves)
+    each = F.transform(
+        as_of_days, lambda d: outliers(d, d, _z_within(F.col("seen"), F.date_sub(d, reach)))
+    )
+    of_z = F.when(whole, outliers(day, leaves, F.col("z_score"))).otherwise(F.flatten(each))
+    moved = F.when(prev.isNotNull(), F.concat(month, history)).otherwise(F.array())
+    point = F.when(F.greatest(day, first) <= leaves, of_z).otherwise(F.array())
+    # a ticker has a row for every day, changed or not
+    nothing = [F.lit(0).cast("bigint").alias(c) for c in COUNTS]
+    days = F.transform(F.sequence(first, last), lambda d: F.struct(d.alias("day"), *nothing))
+    return F.concat(moved, point, F.when(prev.isNull(), days).otherwise(F.array()))
+
+
+def recent_counts(
+    prices: DataFrame, last: date | Column, days: int = 30, thresholds: Thresholds = DEFAULTS
+) -> DataFrame:
+    """(ticker, check_date, counts) as `recent_profile` has them on each of `days` as-of days.
+
+    A difference array over the as-of days: every bar adds to the counts on the day on
+    which it enters a check's days and takes away on the day after it leaves them; running
+    sums give all days from one windowed frame, with one shuffle.
+    """
+    t, last_day = thresholds, lit_or_col(last)
+    first = F.date_sub(last_day, days - 1)
+    source = F.date_sub(first, t.history_days + t.warmup_days)
+    # the last day travels as a column: functions over arrays take no subquery
+    recent = prices.select("ticker", "date", "close", last_day.alias("last_day")).where(
+        (F.col("date") >= source) & (F.col("date") <= last_day)
+    )
+    ends = F.date_sub("last_day", days - 1), F.col("last_day")
+    before = series().rowsBetween(-OUTLIER_ROWS, -1)
+    frame = (
+        with_z_scores(recent)
+        .withColumn("seen", F.collect_list(F.struct("date", "close")).over(before))
+        .withColumn("prev_date", F.lag("date").over(series()))
+        .withColumn("gap", F.datediff("date", "prev_date"))
+    )
+    changes = frame.select("ticker", F.inline(_changes_of_bar(*ends, t)))
+    by_day = changes.groupBy("ticker", "day").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    so_far = Window.partitionBy("ticker").orderBy("day")
+    return by_day.select(
+        "ticker", F.col("day").alias("check_date"), *[F.sum(c).over(so_far).alias(c) for c in COUNTS]
+    )
+
+
+def _freshness_by_day(prices: DataFrame, last: Column, days: int, hours: int) -> DataFrame:
+    """(ticker, check_date, hours_since_ingest) on each day from a ticker's first bar on."""
+    first = F.date_sub(last, days - 1)
+    known = (
+        prices.where(F.col("date") <= last)
+        .groupBy("ticker", F.greatest("date", first).alias("day"))
+        .agg(F.max("ingested_at").alias("ingested"))
+    )
+    by_day = Window.partitionBy("ticker").orderBy("day")
+    until = F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), last)
+    filled = known.select(
+        "ticker", "day", F.max("ingested").over(by_day).alias("last_ingested"), until.alias("until")
+    ).select("ticker", "last_ingested", F.explode(F.sequence("day", "until")).alias("check_date"))
+    return filled.select(
+        "ticker",
+        "check_date",
+        whole_hours(F.col("last_ingested"), _checked_at(hours)).alias("hours_since_ingest"),
+    )
+
+
+def _checked_at(hours: int) -> Column:
+    return F.col("check_date").cast("timestamp") + F.expr(f"INTERVAL {int(hours)} HOURS")
+
+
+def quality_history(
+    prices: DataFrame,
+    last: date | Column,
+    days: int = 30,
+    hours: int = 38,
+    thresholds: Thresholds = DEFAULTS,
+) -> DataFrame:
+    """(check_date, ticker, check_name, score, checked_at) of the `days` days up to `last`.
+
+    Each day's scores are those that `quality_scores` gives for the bars known by then, when
+    it runs `hours` after the day began. All days share one windowed frame of the recent
+    bars; freshness reads two columns of the whole history.
+    """
+    t = thresholds
+
+    def scored(profile: DataFrame, checks: list[Check]) -> DataFrame:
+        entries = [
+            F.when(c.applies, F.struct(F.lit(c.name).alias("check_name"), c.score.alias("score")))
+            for c in checks
+        ]
+        kept = F.explode(F.array_compact(F.array(*entries)))
+        return profile.select("check_date", "ticker", kept.alias("check"))
+
+    fresh = scored(_freshness_by_day(prices, lit_or_col(last), days, hours), [_freshness(t)])
+    recent = scored(recent_counts(prices, last, days, t), [_completeness(t), _outliers(), _gaps()])
+    return fresh.unionByName(recent).select(
+        "check_date", "ticker", "check.*", _checked_at(hours).alias("checked_at")
+    )
+
+
 # -- reports over stored scores ------------------------------------------------
 
 

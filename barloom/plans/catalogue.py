@@ -354,16 +354,8 @@ def _scores(s, d) -> DataFrame:
     return quality.quality_scores(_scope(s, d), b.last_ship_date(s, d), b.scoring_time(s, d))
 
 
-def _scores_back(s, d, days: int, prices: DataFrame) -> DataFrame:
-    """Scores as they would have come out some days earlier."""
-    as_of = F.date_sub(b.last_ship_date(s, d), days)
-    known = prices.where(F.col("date") <= as_of)
-    return quality.quality_scores(known, as_of, as_of.cast("timestamp") + F.expr("INTERVAL 38 HOURS"))
-
-
-def _scores_history(s, d) -> DataFrame:
-    prices = _scope(s, d)
-    return files.union_by_name([_scores_back(s, d, days, prices) for days in range(5)])
+def _scores_history(s, d, days: int) -> DataFrame:
+    return quality.quality_history(_scope(s, d), b.last_ship_date(s, d), days)
 
 
 @query
@@ -408,13 +400,15 @@ def quality_count(s, d):
 
 @query
 def quality_heatmap_worst(s, d):
-    worst = quality.quality_heatmap_worst(_scores(s, d), b.last_ship_date(s, d), worst=10)
+    prices = universe.scoped_prices(b.prices_supplier(s, d), b.universe_supplier(s, d))
+    scores = quality.quality_scores(prices, b.last_ship_date(s, d), b.scoring_time(s, d))
+    worst = quality.quality_heatmap_worst(scores, b.last_ship_date(s, d), worst=40)
     return worst.select("ticker", "check_name", "score", "details")
 
 
 @query
 def quality_trend(s, d):
-    return quality.quality_trend(_scores_history(s, d), b.last_ship_date(s, d))
+    return quality.quality_trend(_scores_history(s, d, 30), b.last_ship_date(s, d))
 
 
 @query
@@ -425,10 +419,10 @@ def tickers_needing_attention(s, d):
 
 @query
 def upsert_scores(s, d):
-    prices = _scope(s, d)
-    yesterday = _scores_back(s, d, 1, prices).unionByName(_scores_back(s, d, 0, prices))
-    again = _scores_back(s, d, 0, prices).withColumn("score", F.col("score") / 2)
-    merged = mutate.upsert(yesterday, again, SCORE_KEY, ["checked_at"])
+    stored = _scores_history(s, d, 2)
+    today = stored.where(F.col("check_date") == b.last_ship_date(s, d))
+    again = today.withColumn("score", F.col("score") / 2)
+    merged = mutate.upsert(stored, again, SCORE_KEY, ["checked_at"])
     return merged.select(*SCORE_KEY, "score")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracles.ctes import (
     BARS,
+    CTES,
     LAST_DATE,
     METRICS,
     SCORING_TIME,
@@ -366,7 +367,7 @@ STATEMENTS: dict[str, str] = {
         f"""SELECT check_date, check_name, {r('avg(score)', 3)} AS avg_score,
                    min(score) AS min_score,
                    count(*) FILTER (score < 0.7) AS tickers_below_threshold
-            FROM ({' UNION ALL BY NAME '.join(f'SELECT * FROM ({back(n)})' for n in range(5))})
+            FROM ({' UNION ALL BY NAME '.join(f'SELECT * FROM ({back(n)})' for n in range(30))})
             GROUP BY check_date, check_name""",
         "scope",
     ),
@@ -577,11 +578,13 @@ STATEMENTS: dict[str, str] = {
 }
 
 # reports on scores with their details
+ON_SUPPLIERS = with_ctes("SELECT * FROM prices_s SEMI JOIN (SELECT ticker FROM universe_s WHERE active) a"
+                         " ON a.ticker = prices_s.ticker", "prices_s", "universe_s")
 STATEMENTS["quality_heatmap_worst"] = f"""
-    WITH detailed AS ({STATEMENTS["quality_details"]})
+    WITH detailed AS ({STATEMENTS["quality_details"].replace(CTES["scope"][1], ON_SUPPLIERS)})
     SELECT ticker, check_name, score, details FROM detailed WHERE ticker IN (
         SELECT ticker FROM detailed GROUP BY ticker
-        ORDER BY min(score), avg(round(score * 10)), ticker LIMIT 10)"""
+        ORDER BY min(score), avg(round(score * 10)), ticker LIMIT 40)"""
 STATEMENTS["tickers_needing_attention"] = f"""
     SELECT ticker, check_name, score, details, checked_at FROM ({STATEMENTS["quality_details"]})
     WHERE score < 0.7 ORDER BY score, ticker, check_name LIMIT 100"""

@@ -60,6 +60,14 @@ def test_quality_scores_read_recent_bars_once(stored):
     assert "partial_max(ingested_at" in text
 
 
+def test_trend_of_thirty_days_reads_recent_bars_once(stored):
+    text = plan(quality.quality_history(stored, date(2001, 11, 4), days=30))
+    # the other scan is freshness: two columns of the whole history
+    assert count("Scan parquet", text) == 2 and "GreaterThanOrEqual(date,2001-02-23)" in text
+    frame = plan(quality.recent_counts(stored, date(2001, 11, 4), days=30))
+    assert count("Scan parquet", frame) == 1 and count("Exchange", frame) == 1
+
+
 def test_ticker_filter_reaches_the_scan_below_the_windows(stored):
     rolled = reports.rolling_single_ticker(rolling.rolling_metrics(stored), "s000003", date(2001, 11, 4))
     assert "EqualTo(ticker,S000003)" in plan(rolled)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -90,3 +91,31 @@ def test_all_scores_and_reports(prices):
     trend = {r.check_name: r.tickers_below_threshold for r in quality.quality_trend(scores, TODAY).collect()}
     assert trend == {"freshness": 1, "completeness": 1, "outliers": 0, "gaps": 0}
     assert quality.quality_count(scores.where(F.col("ticker") == "none"), TODAY).isEmpty()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_history_equals_the_scores_of_each_day(spark, seed):
+    rng = random.Random(seed)
+    rows, last = [], date(2024, 6, 30)
+    for ticker, every in (("A", 1), ("B", 2.5), ("C", 12), ("D", 40), ("E", 1.2)):
+        day = last - timedelta(days=400) if ticker != "E" else last - timedelta(days=12)
+        while day <= last + timedelta(days=2):
+            close = 50.0 if ticker == "B" and rng.random() < 0.7 else rng.choice([50.0, 51.0, 52.5, 90.0])
+            stamp = datetime.combine(day, datetime.min.time()) + timedelta(hours=18 + rng.choice([0, 0, 100]))
+            rows.append((ticker, day, None if rng.random() < 0.02 else close, stamp))
+            day += timedelta(days=max(1, round(rng.expovariate(1 / every))))
+    prices = spark.createDataFrame(rows, "ticker string, date date, close double, ingested_at timestamp").repartition(3)
+    columns = ["check_date", "ticker", "check_name", "score", "checked_at"]
+    found = quality.quality_history(prices, last, days=9).select(*columns).collect()
+    wanted = []
+    for back in range(9):
+        day = last - timedelta(days=back)
+        at = datetime.combine(day, datetime.min.time()) + timedelta(hours=38)
+        scores = quality.quality_scores(prices.where(F.col("date") <= day), day, at)
+        wanted += scores.select(*columns).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, wanted))
+
+
+def test_history_of_no_bars(spark):
+    none = spark.createDataFrame([], "ticker string, date date, close double, ingested_at timestamp")
+    assert quality.quality_history(none, TODAY).isEmpty()
