@@ -2,10 +2,10 @@
 
 holdings(portfolio, ticker, weight) has one row per portfolio and ticker.
 A ticker can be in most portfolios and a portfolio can hold most tickers. Group
-totals are aggregated partially and joined back. Holdings meet returns by ticker
-and year of the return, the few holdings being repeated per year, so that one
-ticker's days are spread at every size. What a holding yields per day is only
-ever aggregated, partially before its shuffle.
+totals are aggregated partially and joined back. A ticker's returns are packed by
+year, each year with its moments and a bitmap of its days; holdings meet these rows.
+The days on which a portfolio is complete are the conjunction of bitmaps, and only they
+are expanded, once, after the shuffle by portfolio and year.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from barloom.operators.universe import check_page
 from barloom.schemas import HOLDING_KEY, METRIC_COLUMNS
 
 NAME_LIMIT = 100
-BUCKET_SLOTS = 256  # returns of one ticker that meet its holdings in one task, by position
+BUCKET_SLOTS = 256  # returns of one ticker in one array, by position
+WORD_BITS, WORDS = 62, 6  # bitmaps of a bucket's slots: at least 366 bits
 
 # -- definitions ---------------------------------------------------------------
 
@@ -139,65 +140,131 @@ def portfolio_list(
 
 
 def _returns(prices: DataFrame, align: str) -> DataFrame:
-    """(ticker, bucket, slot, daily_return) of tickers with enough bars.
+    """(ticker, bucket, slot, bit, daily_return) of tickers with enough bars.
 
-    slot is the date, or the return's number counted from the ticker's oldest.
+    slot is the date, or the return's number counted from the ticker's oldest; bit is its
+    number within the bucket, a year or BUCKET_SLOTS numbers.
     """
     if align not in ("date", "position"):
         raise ValueError(f"unknown alignment: {align}")
     bars = F.count(F.lit(1)).over(Window.partitionBy("ticker"))
-    slot = F.col("date") if align == "date" else F.row_number().over(series()) - 1
-    bucket = F.year("slot") if align == "date" else F.floor(F.col("slot") / BUCKET_SLOTS)
+    dated = align == "date"
+    slot = F.col("date") if dated else F.row_number().over(series()) - 1
+    bucket = F.year("slot") if dated else F.floor(F.col("slot") / BUCKET_SLOTS)
+    bit = F.dayofyear("slot") - 1 if dated else (F.col("slot") % BUCKET_SLOTS).cast("int")
     return (
         with_returns(prices.select("ticker", "date", "close"))
         .withColumn("slot", slot)
         .withColumn("bars", bars)
         .where((F.col("bars") >= MIN_POINTS) & F.col("prev_close").isNotNull())
-        .select("ticker", bucket.alias("bucket"), "slot", "daily_return")
+        .select("ticker", bucket.alias("bucket"), "slot", bit.alias("bit"), "daily_return")
+    )
+
+
+def _packed(returns: DataFrame) -> DataFrame:
+    """One row per ticker and bucket: its returns as an array, the moments n, s and q
+    (count, sum, sum of squares), and a bitmap of the slots that have one.
+
+    A bucket has 366 slots at most. Without a usable return there is no row.
+    """
+    r, word = F.col("daily_return"), F.floor(F.col("bit") / WORD_BITS)
+    flag = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit") % WORD_BITS)
+    words = [F.coalesce(F.bit_or(F.when(word == k, flag)), F.lit(0).cast("bigint")) for k in range(WORDS)]
+    return (
+        returns.where(~F.isnan("daily_return"))
+        .groupBy("ticker", "bucket")
+        .agg(
+            F.collect_list(F.struct("slot", "bit", "daily_return")).alias("returns"),
+            F.count(r).alias("n"),
+            F.sum(r).alias("s"),
+            F.sum(r * r).alias("q"),
+            *[w.alias(f"has_{k}") for k, w in enumerate(words)],
+        )
     )
 
 
 def _legs(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
-    """Every holding at every slot its ticker has a return for.
+    """Every holding in every bucket in which its portfolio has complete slots.
 
-    `needed` is the number of the portfolio's holdings that have data at all.
+    all_* is the bitmap of the slots at which no holding is missing, the conjunction of the
+    holdings' own bitmaps; nothing is expanded to find it.
     """
     returns = _returns(prices, align)
-    # a ticker with enough bars has returns, so its buckets also say that it has data
-    buckets = returns.select("ticker", "bucket").distinct()
-    usable = returns.where(~F.isnan("daily_return"))
+    packed = _packed(returns)
+    # a ticker whose returns are all unusable counts as a holding that is always missing
     held = holdings.select(*HOLDING_KEY, "weight").join(
-        buckets.select("ticker").distinct(), "ticker", "left_semi"
+        returns.select("ticker").distinct(), "ticker", "left_semi"
     )
     counted = with_group_totals(held, "portfolio", {"needed": F.count(F.lit(1))})
-    return counted.join(buckets, "ticker").join(usable, ["ticker", "bucket"]).drop("bucket")
+    legs = counted.join(packed, "ticker")
+    complete = (
+        legs.groupBy("portfolio", "bucket")
+        .agg(
+            F.count(F.lit(1)).alias("legs"),
+            F.max("needed").alias("needed"),
+            *[F.bit_and(f"has_{k}").alias(f"all_{k}") for k in range(WORDS)],
+        )
+        .where(F.col("legs") == F.col("needed"))
+        .select("portfolio", "bucket", *[f"all_{k}" for k in range(WORDS)])
+    )
+    return legs.join(complete, ["portfolio", "bucket"])
+
 
+def _complete_returns() -> Column:
+    """A leg's returns at its portfolio's complete slots."""
+    words = F.array(*[F.col(f"all_{k}") for k in range(WORDS)])
 
-def _weighted_return() -> tuple[Column, Column]:
-    return F.sum(F.col("weight") * F.col("daily_return")), F.sum("weight")
+    def complete(x: Column) -> Column:
+        word = F.get(words, F.floor(x["bit"] / WORD_BITS).cast("int"))
+        return F.call_function("getbit", word, x["bit"] % WORD_BITS) == 1
+
+    whole = F.lit(True)
+    for k in range(WORDS):
+        whole = whole & (F.col(f"all_{k}") == F.col(f"has_{k}"))
+    return F.when(whole, F.col("returns")).otherwise(F.filter("returns", complete))
 
 
 def _complete_days(legs: DataFrame) -> DataFrame:
-    """(portfolio, slot, portfolio_return) of the slots at which no holding is missing."""
-    gain, weight = _weighted_return()
+    """(portfolio, slot, portfolio_return) of the slots at which no holding is missing.
+
+    The only place where holdings x slots become rows; their buckets are shuffled as arrays.
+    """
+    gain = F.sum(F.col("weight") * F.col("daily_return"))
     return (
-        legs.groupBy("portfolio", "slot")
-        .agg(
-            (gain / weight).alias("portfolio_return"),
-            F.count(F.lit(1)).alias("legs"),
-            F.max("needed").alias("needed"),
-        )
-        .where(F.col("legs") == F.col("needed"))
+        legs.select("portfolio", "bucket", "weight", F.inline(_complete_returns()))
+        .groupBy("portfolio", "bucket", "slot")
+        .agg((gain / F.sum("weight")).alias("portfolio_return"))
         .select("portfolio", "slot", "portfolio_return")
     )
 
 
-def _leg_volatility(legs: DataFrame, days: DataFrame) -> DataFrame:
-    """(portfolio, leg_vol): weighted mean volatility of the holdings over the complete days."""
-    complete = legs.join(days.select("portfolio", "slot"), ["portfolio", "slot"], "left_semi")
+def _leg_volatility(legs: DataFrame) -> DataFrame:
+    """(portfolio, leg_vol): weighted mean volatility of the holdings over the complete days.
+
+    Moments merge over buckets; where a bucket has all of a ticker's slots they are those of
+    the ticker, only in the others they are added up again.
+    """
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+
+    def add(m: Column, x: Column) -> Column:
+        r = x["daily_return"]
+        return F.struct((m["n"] + 1).alias("n"), (m["s"] + r).alias("s"), (m["q"] + r * r).alias("q"))
+
+    whole = F.lit(True)
+    for k in range(WORDS):
+        whole = whole & (F.col(f"all_{k}") == F.col(f"has_{k}"))
+    moments = F.when(whole, F.struct("n", "s", "q")).otherwise(
+        F.aggregate(_complete_returns(), zero, add)
+    )
+    n, s, q = F.sum("m.n"), F.sum("m.s"), F.sum("m.q")
+    spread = F.greatest(q - F.try_divide(s * s, n), F.lit(0.0))
     return (
-        complete.groupBy("portfolio", "ticker")
-        .agg(F.max("weight").alias("weight"), annualized(F.stddev_samp("daily_return")).alias("vol"))
+        legs.select("portfolio", "ticker", "weight", moments.alias("m"))
+        .groupBy("portfolio", "ticker")
+        .agg(
+            F.max("weight").alias("weight"),
+            annualized(F.sqrt(F.try_divide(spread, n - 1))).alias("vol"),
+        )
         .groupBy("portfolio")
         .agg(F.try_divide(F.sum(F.col("weight") * F.col("vol")), F.sum("weight")).alias("leg_vol"))
     )
@@ -248,7 +315,7 @@ def portfolio_risk(
         *[cvar_of(f"q_{n}", r).alias(f"cvar_{n}") for n in TAIL],
         sharpe_of(risk_free_rate, 1, r).alias("sharpe_ratio"),
         worst_fall().alias("max_drawdown"),
-    ).join(_leg_volatility(legs, days), "portfolio")
+    ).join(_leg_volatility(legs), "portfolio")
     own = F.col("annualized_volatility")
     ratio = F.when(own > 0, F.try_divide(F.col("leg_vol"), own)).otherwise(F.lit(1.0))
     return (
