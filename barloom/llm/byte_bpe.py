@@ -21,9 +21,13 @@ from pyspark.sql import DataFrame
 from barloom.llm.base import map_batches, prepared, small_groups
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-# Chunks that one Python worker remembers in each of two generations.
-REMEMBERED = 400_000
+# Bytes of each of a Python worker's two memories, and about what an entry has besides its texts.
+REMEMBERED_BYTES = 24_000_000
+ENTRY_BYTES = 200
+# Characters whose pre-tokens are merged at once.
+AT_ONCE = 1_000_000
 LONGEST_REMEMBERED = 64
+MOST_PAIRS = 100_000
 BESIDE_SPACE = re.compile(r" \s|\s |\n\s|\s\n")
 
 
@@ -47,6 +51,11 @@ class RankQueue:
         self.middle[block] = self.middle.get(block, 0) | 1 << (word & 63)
         self.top |= 1 << block
 
+    def fill(self, rank: int, positions: list[int]) -> None:
+        """Many positions at once, of a rank that has none yet."""
+        self.push(rank, positions[0])
+        self.buckets[rank] = positions
+
     def take_bucket(self) -> tuple[int, list[int]] | None:
         """The lowest rank and all its positions, which leave the queue."""
         if not self.top:
@@ -65,6 +74,31 @@ class RankQueue:
         return rank, self.buckets.pop(rank)
 
 
+class Memory:
+    """Ids of texts that came up lately, in decimal. It has two generations of half its bytes
+    each: what has not come up during a whole one is forgotten."""
+
+    def __init__(self, size: int = REMEMBERED_BYTES):
+        self.half, self.held = size // 2, 0
+        self.recent: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+
+    def known(self, texts: set[str]) -> dict[str, str]:
+        recent, older = self.recent, self.older
+        return {t: i for t in texts if (i := recent.get(t) or older.get(t))}
+
+    def keep(self, ids: dict[str, str]) -> None:
+        """Remembers texts with their ids; those known already stay for another generation."""
+        recent = self.recent
+        for text, own in ids.items():
+            if text not in recent and len(text) <= LONGEST_REMEMBERED:
+                recent[text] = own
+                self.held += ENTRY_BYTES + len(text) + len(own)
+                if self.held > self.half:
+                    self.recent, self.older, self.held = {}, recent, 0
+                    recent = self.recent
+
+
 class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -74,9 +108,15 @@ class ByteBPE:
             raise ValueError("two tokens share a rank")
         self.by_decimal = {str(rank): token for rank, token in self.bytes_of.items()}
         self.shift = max(self.bytes_of).bit_length()
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte_of = np.zeros(max(self.bytes_of) + 1, dtype=np.int64)
+        self.byte_of[self.single] = np.arange(256)
+        # ranks of two bytes' merge; the only pairs that stand beside each other at first
+        self.byte_pairs = np.array(
+            [[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], dtype=np.int64
+        )
         self.pairs: dict[int, int] = {}
-        self.recent: dict[str, str] = {}
-        self.older: dict[str, str] = {}
+        self.chunks, self.pieces = Memory(), Memory()
 
     @classmethod
     def load(cls, content: bytes, pattern: str) -> ByteBPE:
@@ -91,7 +131,7 @@ class ByteBPE:
     def _pair_rank(self, pair: int) -> int:
         """The rank of two neighbours' merge, -1 if they never merge."""
         left, right = pair >> self.shift, pair & ((1 << self.shift) - 1)
-        if len(self.pairs) > REMEMBERED:
+        if len(self.pairs) > MOST_PAIRS:
             self.pairs.clear()
         rank = self.pairs[pair] = self.ranks.get(self.bytes_of[left] + self.bytes_of[right], -1)
         return rank
@@ -100,35 +140,26 @@ class ByteBPE:
         """Token ids of each pre-token. All of them lie in one linked list with gaps
         between them and share one queue: what is found in a bucket serves them all."""
         ranks, shift, pairs, pair_rank = self.ranks, self.shift, self.pairs, self._pair_rank
-        single = [ranks[bytes([b])] for b in range(256)]
-        starts, ids = [], []
-        for piece in pieces:
-            starts.append(len(ids))
-            whole = ranks.get(piece)
-            if whole is None:
-                ids += [single[b] for b in piece]
-            else:
-                ids.append(whole)
-            ids.append(-1)  # the gap: no pair reaches over it
-        n = len(ids)
+        # each piece is followed by a gap that no pair reaches over
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 1
+        ends = np.cumsum(sizes)
+        starts, n = (ends - sizes).tolist(), int(ends[-1]) if len(pieces) else 0
+        flat = self.single[np.frombuffer(b"\0".join([*pieces, b""]), dtype=np.uint8)]
+        flat[ends - 1] = -1
+        first = np.full(n, -1, dtype=np.int64)
+        if n > 1:
+            left, right = flat[:-1], flat[1:]
+            both = (left >= 0) & (right >= 0)
+            first[:-1][both] = self.byte_pairs[self.byte_of[left[both]], self.byte_of[right[both]]]
+        ids, wanted = flat.tolist(), first.tolist()  # wanted: the rank of a position's pair in the queue
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        wanted = [-1] * n  # the rank under which a position's pair stands in the queue
         queue = RankQueue()
         push, filled = queue.push, queue.buckets.get
-        left = -1
-        for i, right in enumerate(ids, -1):
-            if left >= 0 and right >= 0:
-                pair = left << shift | right
-                rank = pairs.get(pair)
-                if rank is None:
-                    rank = pair_rank(pair)
-                if rank >= 0:
-                    wanted[i] = rank
-                    if bucket := filled(rank):
-                        bucket.append(i)
-                    else:
-                        push(rank, i)
-            left = right
+        found_at = np.flatnonzero(first >= 0)
+        order = found_at[np.argsort(first[found_at], kind="stable")]
+        edges = np.flatnonzero(np.diff(first[order])) + 1
+        for at in np.split(order, edges) if len(order) else ():
+            queue.fill(int(first[at[0]]), at.tolist())
         while (found := queue.take_bucket()) is not None:
             merged, positions = found
             positions.sort()  # leftmost first among equals
@@ -174,32 +205,35 @@ class ByteBPE:
                             push(rank, h)
                         if rank < merged:
                             waiting = ids_end(starts, i, n)
-        ends = [*starts[1:], n]
-        return [[x for x in ids[a:b] if x >= 0] for a, b in zip(starts, ends, strict=True)]
+        return [[x for x in ids[a:b] if x >= 0] for a, b in zip(starts, ends.tolist(), strict=True)]
 
     def _learn(self, new: list[str]) -> dict[str, str]:
         """Chunks of whole pre-tokens -> their ids in decimal, joined by spaces."""
         split = [self.pattern.findall(c) for c in new]
-        pieces = list({p for ps in split for p in ps})
-        ids = self.merge([p.encode() for p in pieces])
-        text = {p: " ".join(map(str, x)) for p, x in zip(pieces, ids, strict=True)}
+        wanted = {p for ps in split for p in ps}
+        text = self.pieces.known(wanted)
+        new_pieces = {p: p.encode() for p in wanted.difference(text)}
+        whole = {p: rank for p, b in new_pieces.items() if (rank := self.ranks.get(b)) is not None}
+        pieces = [p for p in new_pieces if p not in whole]
+        ids = self.merge([new_pieces[p] for p in pieces])
+        text |= {p: str(rank) for p, rank in whole.items()}
+        text |= {p: " ".join(map(str, x)) for p, x in zip(pieces, ids, strict=True)}
+        self.pieces.keep(text)
         return {c: " ".join([text[p] for p in ps]) for c, ps in zip(new, split, strict=True)}
 
     def _ids_texts(self, texts: list[str]) -> Iterator[str]:
         """The ids of each text in decimal, joined by spaces."""
         cut = [chunks(t) for t in texts]
-        recent, older = self.recent, self.older
-        kept = {c: i for c in set().union(*cut) if (i := recent.get(c) or older.get(c))}
-        kept |= self._learn([c for c in set().union(*cut) if c not in kept])
+        wanted = set().union(*cut)
+        kept = self.chunks.known(wanted)
+        kept |= self._learn(list(wanted.difference(kept)))
         for cs in cut:
             yield " ".join(map(kept.__getitem__, cs))
-        self.recent |= {c: i for c, i in kept.items() if len(c) <= LONGEST_REMEMBERED}
-        if len(self.recent) > REMEMBERED:  # what has not come up for a whole turn is forgotten
-            self.recent, self.older = {}, self.recent
+        self.chunks.keep(kept)
 
     def digests(self, texts: list[str]) -> Iterator[tuple[list[str], str, str]]:
         """Ids in decimal, SHA-256 of their joined text, SHA-256 of the bytes they decode to."""
-        for group in small_groups(texts):
+        for group in small_groups(texts, AT_ONCE):
             for text in self._ids_texts(group):
                 ids = text.split(" ") if text else []
                 yield (
@@ -209,7 +243,7 @@ class ByteBPE:
                 )
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        for group in small_groups(texts):
+        for group in small_groups(texts, AT_ONCE):
             for text in self._ids_texts(group):
                 yield list(map(int, text.split(" "))) if text else []
 
