@@ -1,4 +1,8 @@
-"""Row-level change feed between two versions of a keyed table."""
+"""Row-level change feed between two versions of a keyed table.
+
+Versions are compared by ranges of keys first: a range whose digests agree in both has
+no changes, and only the rows of the others are shuffled and joined.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,51 @@ DELETE = "delete"
 BEFORE = "update_preimage"
 AFTER = "update_postimage"
 
+# Ranges are a bucket of the first key and a month, so at most 2^18 of them: what is
+# broadcast of them has a fixed bound.
+RANGE_BUCKETS, RANGE_MONTHS = 1024, 256
+
+
+def _range(rows: DataFrame, keys: list[str]) -> Column:
+    """The number of a row's range: bucket of the first undated key, month of the first dated."""
+    kinds = dict(rows.dtypes)
+    dated = [k for k in keys if kinds[k].startswith(("date", "timestamp"))]
+    plain = [k for k in keys if k not in dated] or keys
+    bucket = F.pmod(F.xxhash64(plain[0]), F.lit(RANGE_BUCKETS))
+    if dated:
+        month = F.year(dated[0]) * 12 + F.month(dated[0])
+    else:
+        month = F.xxhash64(*keys)
+    number = bucket * RANGE_MONTHS + F.pmod(month, F.lit(RANGE_MONTHS))
+    return F.coalesce(number, F.lit(-1)).cast("long")
+
+
+def range_digests(rows: DataFrame, keys: list[str], compare: list[str]) -> DataFrame:
+    """(range, rows, mixed, added, unkeyed): per range the number of rows, two digests that do
+    not depend on their order, and how many rows have a NULL key."""
+    # a NULL leaves a hash as it is, so the flags say where it stands
+    marked = [c for name in [*keys, *compare] for c in (F.isnull(name), F.col(name))]
+    unkeyed = F.lit(False)
+    for key in keys:
+        unkeyed = unkeyed | F.isnull(key)
+    return rows.groupBy(_range(rows, keys).alias("range")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bit_xor(F.xxhash64(F.lit(1), *marked)).alias("mixed"),
+        F.sum(F.pmod(F.xxhash64(F.lit(2), *marked), F.lit(1 << 32))).alias("added"),
+        F.count_if(unkeyed).alias("unkeyed"),
+    )
+
+
+def changed_ranges(
+    before: DataFrame, after: DataFrame, keys: list[str], compare: list[str]
+) -> DataFrame:
+    """The ranges that may hold changes. Rows without a key match nothing, so theirs are among them."""
+    facts = ["rows", "mixed", "added", "unkeyed"]
+    old = range_digests(before, keys, compare).select("range", F.struct(*facts).alias("old"))
+    new = range_digests(after, keys, compare).select("range", F.struct(*facts).alias("new"))
+    differ = ~F.col("old").eqNullSafe(F.col("new")) | (F.col("old.unkeyed") > 0)
+    return old.join(new, "range", "full_outer").where(differ).select("range")
+
 
 def snapshot_diff(
     before: DataFrame,
@@ -26,8 +75,14 @@ def snapshot_diff(
     """One insert or delete row, or a pre- and a post-image, per changed key."""
     columns = before.columns
     compare = compare or [c for c in columns if c not in keys]
-    old = before.select(F.struct(*columns).alias("old"))
-    new = after.select(F.struct(*columns).alias("new"))
+    ranges = F.broadcast(changed_ranges(before, after, keys, compare))
+
+    def touched(rows: DataFrame) -> DataFrame:
+        ranged = rows.withColumn("_range", _range(rows, keys))
+        return ranged.join(ranges, F.col("_range") == F.col("range"), "left_semi")
+
+    old = touched(before).select(F.struct(*columns).alias("old"))
+    new = touched(after).select(F.struct(*columns).alias("new"))
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
 
     def image(side: str, kind: str) -> Column:
