@@ -45,6 +45,7 @@ class ArcRecord:
     version: int
     fields: dict[str, str]
     content: bytes
+    opens: bool = False  # the version block, known by its place, as any URL may be a page's
 
 
 @dataclass
@@ -104,7 +105,8 @@ def read_arc(stream: BinaryIO) -> Iterator[ArcRecord]:
         content = stream.read(length)
         if len(content) != length:
             raise ValueError(f"ARC record ends after {len(content)} of {length} bytes")
-        if not version:
+        opens = not version
+        if opens:
             if not values[0].startswith("filedesc://"):
                 raise ValueError("an ARC file starts with its version block")
             version = int(content.split(b" ", 1)[0])
@@ -112,7 +114,7 @@ def read_arc(stream: BinaryIO) -> Iterator[ArcRecord]:
                 raise ValueError(f"ARC version {version}")
             if content.decode().splitlines()[1].split() != ARC_FIELDS[version]:
                 raise ValueError("the version block declares other fields")
-        yield ArcRecord(version, dict(zip(fields, values, strict=True)), content)
+        yield ArcRecord(version, dict(zip(fields, values, strict=True)), content, opens)
 
 
 def record_id(page_id: int | None, fallback: bytes = b"") -> str:
@@ -166,7 +168,7 @@ def convert(record: ArcRecord, refers_to: int | None = None) -> WarcRecord:
     when = datetime.strptime(record.fields["Archive-date"], ARC_TIME).replace(tzinfo=timezone.utc)
     headers = {"WARC-Date": f"{when:%Y-%m-%dT%H:%M:%SZ}"}
     url = record.fields["URL"]
-    if url.startswith("filedesc://"):
+    if record.opens:
         block = f"software: barloom\r\nformat: {WARC_VERSION}\r\nconverted-from: ARC/{record.version}\r\n"
         return WarcRecord(
             {

@@ -109,7 +109,8 @@ def convert_pages(pages: DataFrame, folder: str, least: int = LEAST_SHARED) -> D
 
 
 def read_archives(files: DataFrame) -> DataFrame:
-    """Response and revisit records of the WARC files in column path.
+    """Response and revisit records of the WARC files in column path; files of 64 MB and a
+    record at most are read by a task each.
 
     A revisit's digest is its header's and its length that of its HTTP head, both of
     the payload it shares; a response's are those of the payload read.
@@ -145,14 +146,15 @@ def read_archives(files: DataFrame) -> DataFrame:
                 arrays = [pa.array(c, type=t) for c, t in zip(columns, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return files.select("path").repartition("path").mapInArrow(read, RECORDS)
+    # a task for each file; without their number adaptive execution puts the short rows together
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(read, RECORDS)
 
 
 def archived_pages(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     """Writes all pages to WARC archives in the shared folder and reads them back.
 
     One record per input row. A NULL html is an empty payload; a NULL url has no
-    target URI; a NULL page_id has an identifier of its own content and is a revisit
+    target URI, any other url is kept, whatever its scheme; a NULL page_id has an identifier of its own content and is a revisit
     if a page with an id shares its payload. Repeated rows of the original are all
     responses. An empty table writes no file and gives no rows.
     """

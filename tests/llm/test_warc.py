@@ -22,6 +22,8 @@ PAGES = [
     (6, "", ""),
     (None, "http://a.example/none", BIG),
     (8, "http://a.example/8", BIG + "é"),
+    (9, "filedesc://x", "a page of any scheme"),
+    (10, "filedesc://t.arc", BIG),
     (-9, "http://a.example/ü", "x" * 300_000),
 ]
 
@@ -98,3 +100,13 @@ def test_files_of_lost_attempts_are_not_read(spark):
     twice = warc.convert_pages(frame, folder).collect()  # leaves the first attempt's files
     assert {f.path for f in files}.isdisjoint(f.path for f in twice)
     assert warc.read_archives(spark.createDataFrame(twice)).count() == 3
+
+
+def test_files_are_read_by_a_task_each(spark):
+    folder = scratch_path(spark, "warc-test").replace("file:", "", 1)
+    kinds = "page_id long, url string, html string"
+    parts = [spark.createDataFrame(PAGES[n::3], kinds) for n in range(3)]
+    files = spark.createDataFrame([f for p in parts for f in warc.convert_pages(p, folder).collect()])
+    found = warc.read_archives(files)
+    assert files.count() >= 3 and found.rdd.getNumPartitions() == files.count()
+    assert found.count() == len(PAGES)
