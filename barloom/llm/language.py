@@ -1,7 +1,8 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 Per language, counts of character 4-grams over all training texts; lower orders use
-continuation counts. All n-grams are 64-bit hashes in sorted arrays shared by the
+continuation counts. An n-gram that is very rare in its own language leaves its
+probability to the shorter one; no language's n-grams compete with another's. All n-grams are 64-bit hashes in sorted arrays shared by the
 languages. A text gets the language of the lowest cross-entropy per character, and
 is rejected if that is far above what the language's own training texts have.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,15 @@ from barloom.llm.base import prepared, small_groups, stored
 
 ORDER = 4
 UNDETERMINED = "und"
-# Bound of the broadcast models: n-grams of all languages together; rarer ones are left to back-off.
-MOST_GRAMS = 500_000
+# An n-gram with a smaller share of its own language's counts is left to back-off, and its
+# probability with it. A language has at most 1 / RARE such n-grams per order, whatever the others have.
+RARE = 1e-7
 # A text is rejected above median + SLACK x (99th percentile - median) of its language, plus
 # SHORT / sqrt(letters): single letters cost some 1.5 nats more or less, short texts vary by that.
 SLACK, SHORT = 8.0, 6.0
 SPACE, START = 32, 1
+# The least that a context leaves to the lower order, so that its logarithm exists.
+LEAST_LEFT = 1e-12
 # Characters scored at once, some 60 bytes of working memory each.
 AT_ONCE = 400_000
 SCORES = "doc_id long, lang string, letters long, best string, entropy double, score double"
@@ -102,25 +106,49 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def frequent(counted: DataFrame, most: int) -> DataFrame:
-    """The n-grams that occur at least 2^k times, for the smallest k that leaves `most` at most."""
-    sizes = (
-        counted.groupBy(F.floor(F.log2("n")).cast("int").alias("size")).agg(F.count("*").alias("types"))
-    ).collect()  # one row per power of two
-    left, least = 0, 0
-    for row in sorted(sizes, key=lambda r: -r["size"]):
-        left += row["types"]
-        if left > most:
-            least = row["size"] + 1
-            break
-    return counted.where(F.col("n") >= 1 << least)
+def by_order(counted: DataFrame) -> DataFrame:
+    """(lang, ord, gram, n): the 4-grams, and shorter n-grams with their continuation counts, that
+    is, in how many longer types they end."""
+    orders = [counted.select("lang", F.lit(ORDER).alias("ord"), "gram", "n")]
+    for order in range(ORDER - 1, 0, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1)).alias("gram")
+        grouped = orders[-1].groupBy("lang", shorter).agg(F.count("*").alias("n"))
+        orders.append(grouped.select("lang", F.lit(order).alias("ord"), "gram", "n"))
+    return reduce(DataFrame.union, orders)
 
 
-def _discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+def sizes(grams: DataFrame) -> DataFrame:
+    """(lang, ord, total, once, twice): the sum of counts, and how many counts are 1 and 2."""
+    return grams.groupBy("lang", "ord").agg(
+        F.sum("n").alias("total"),
+        F.count_if(F.col("n") == 1).alias("once"),
+        F.count_if(F.col("n") == 2).alias("twice"),
+    )
+
+
+def kept_grams(grams: DataFrame, rare: float) -> DataFrame:
+    """(lang, ord, gram, n, head_n) of the n-grams with at least the share `rare` of their language's
+    counts; head_n is the count of the context over all n-grams, kept or not."""
+    head = F.shiftrightunsigned("gram", 16).alias("head")
+    heads = grams.groupBy("lang", "ord", head).agg(F.sum("n").alias("head_n"))
+    often = grams.join(sizes(grams), ["lang", "ord"]).where(F.col("n") >= F.col("total") * rare)
+    return often.select("lang", "ord", "gram", "n", head).join(heads, ["lang", "ord", "head"]).drop("head")
+
+
+def discount(once: int, twice: int) -> float:
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
+@dataclass
+class Counts:
+    """Kept n-grams of one order and language: sorted keys, counts, counts of their contexts, discount."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    heads: np.ndarray
+    discount: float
+
+
 def _position(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.searchsorted(sorted_keys, keys)
     at[at == len(sorted_keys)] = 0
@@ -140,46 +168,36 @@ class Models:
     floor: np.ndarray
 
     @classmethod
-    def build(cls, counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
-        """From 4-gram keys and counts of each language."""
+    def build(cls, counted: dict[str, list[Counts]]) -> Models:
+        """From the n-grams of orders 1..4 of each language."""
         languages = sorted(counted)
-        orders: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(ORDER)]
-        for lang in languages:
-            keys, counts = counted[lang]
-            for order in range(ORDER, 0, -1):
-                orders[order - 1][lang] = (keys, counts)
-                # continuation counts: in how many longer types a shorter n-gram occurs
-                if order > 1:
-                    mask = np.uint64((1 << 16 * (order - 1)) - 1)
-                    keys, counts = np.unique(keys & mask, return_counts=True)
-        union = [np.unique(np.concatenate([k for k, _ in o.values()])) for o in orders]
+        own = [[counted[lang][order] for lang in languages] for order in range(ORDER)]
+        union = [np.unique(np.concatenate([c.keys for c in of])) for of in own]
         contexts = [np.unique(u >> np.uint64(16)) for u in union]
         # below all orders, every symbol of any language and one unseen symbol are equally likely
         floor = np.full(len(languages), -np.log(len(union[0]) + 1))
         models = cls(languages, [], [], [], [], floor)
         for order in range(1, ORDER + 1):
             keys, heads = union[order - 1], contexts[order - 1]
-            probability = np.zeros((len(keys), len(languages)))
-            weights = np.zeros((len(heads), len(languages)))
-            lower = models.score(keys & np.uint64((1 << 16 * (order - 1)) - 1), order - 1)
-            for column, lang in enumerate(languages):
-                own, counts = orders[order - 1][lang]
-                discount = _discount(counts)
-                head = np.searchsorted(heads, own >> np.uint64(16))
-                total = np.bincount(head, weights=counts, minlength=len(heads))
-                types = np.bincount(head, minlength=len(heads))
-                known = total > 0
-                share = np.ones(len(heads))  # a context never seen leaves all to the lower order
-                share[known] = discount * types[known] / total[known]
-                weights[:, column] = np.log(share)
-                of_key = np.searchsorted(heads, keys >> np.uint64(16))
-                probability[:, column] = share[of_key] * np.exp(lower[:, column])
-                at = np.searchsorted(keys, own)
-                probability[at, column] += np.maximum(counts - discount, 0) / total[head]
+            logs = np.empty((len(keys), len(languages)), dtype=np.float32)
+            weights = np.zeros((len(heads), len(languages)), dtype=np.float32)
+            for start in range(0, len(keys), AT_ONCE):
+                part = keys[start : start + AT_ONCE] & np.uint64((1 << 16 * (order - 1)) - 1)
+                logs[start : start + AT_ONCE] = models.score(part, order - 1)
+            of_key = np.searchsorted(heads, keys >> np.uint64(16))
+            for column, known in enumerate(own[order - 1]):
+                share = np.maximum(known.counts - known.discount, 0) / known.heads
+                head = np.searchsorted(heads, known.keys >> np.uint64(16))
+                # what a context's kept n-grams leave goes to the lower order: discounts and rare n-grams
+                left = np.maximum(1 - np.bincount(head, weights=share, minlength=len(heads)), LEAST_LEFT)
+                weights[:, column] = np.log(left)
+                probability = left[of_key] * np.exp(logs[:, column], dtype=np.float64)
+                probability[np.searchsorted(keys, known.keys)] += share
+                logs[:, column] = np.log(probability)
             models.keys.append(keys)
-            models.logs.append(np.log(probability).astype(np.float32))
+            models.logs.append(logs)
             models.contexts.append(heads)
-            models.weights.append(weights.astype(np.float32))
+            models.weights.append(weights)
         return models
 
     def score(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -215,23 +233,30 @@ class Models:
         return -sums / np.maximum(sizes, 1)[:, None], sizes, letters
 
 
-def train(labelled: DataFrame, most: int = MOST_GRAMS) -> Models | None:
-    """Models of all languages in (text, lang), counted over all rows; None without rows."""
+def train(labelled: DataFrame, rare: float = RARE) -> Models | None:
+    """Models of all languages in (text, lang), counted over all rows; None without rows.
+
+    Continuation counts, discounts and context counts are of all n-grams; only those with at
+    least the share `rare` of their language's counts get a probability of their own.
+    """
     prepared(labelled.sparkSession)
     counted = stored(gram_counts(labelled.where("text IS NOT NULL AND lang IS NOT NULL")), "grams")
-    kept = frequent(counted, most).toPandas()  # at most `most` rows
+    grams = stored(by_order(counted), "orders")
+    kept = kept_grams(grams, rare).toPandas()  # at most 1 / rare rows per language and order
     if kept.empty:
         return None
-    model = {}
-    for lang, rows in kept.groupby("lang", sort=True):
+    model: dict[str, list[Counts]] = {}
+    for size in sizes(grams).orderBy("lang", "ord").collect():  # four rows per language
+        rows = kept[(kept["lang"] == size["lang"]) & (kept["ord"] == size["ord"])]
         rows = rows.assign(key=rows["gram"].to_numpy().view(np.uint64)).sort_values("key")
-        model[lang] = (rows["key"].to_numpy(), rows["n"].to_numpy())
+        columns = (rows[name].to_numpy() for name in ("key", "n", "head_n"))
+        model.setdefault(size["lang"], []).append(Counts(*columns, discount(size["once"], size["twice"])))
     return Models.build(model)
 
 
 def scored(documents: DataFrame, models: Models | None) -> DataFrame:
     """doc_id, lang, letters, best language, its cross-entropy and posterior, per row."""
-    shared = documents.sparkSession.sparkContext.broadcast(models)  # bounded by MOST_GRAMS
+    shared = documents.sparkSession.sparkContext.broadcast(models)  # bounded by RARE
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value

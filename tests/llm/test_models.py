@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -20,15 +22,65 @@ def corpus(rng):
     return [(i, text_in(rng, lang, rng.randint(5, 60)), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 80)]
 
 
-def counted(rows):
+def gram_list(rows):
+    """Every occurrence of a 4-gram, as four symbols, by language."""
     out = {}
     for _, text, lang in rows:
-        out.setdefault(lang, []).append(language.grams(language.symbols(text)[0]))
-    return {lang: np.unique(np.concatenate(keys), return_counts=True) for lang, keys in out.items()}
+        sequence = [int(x) for x in language.symbols(text)[0]]
+        out.setdefault(lang, []).extend(tuple(sequence[i : i + 4]) for i in range(len(sequence) - 3))
+    return out
 
 
-def test_probabilities_sum_to_one(corpus):
-    models = language.Models.build(counted(corpus))
+def plain_orders(occurrences):
+    """Counts of 4-grams and continuation counts of shorter ones, by order."""
+    orders = {4: Counter(occurrences)}
+    for order in (3, 2, 1):
+        orders[order] = Counter(gram[1:] for gram in orders[order + 1])
+    return orders
+
+
+def key_of(gram):
+    return sum(symbol << 16 * i for i, symbol in enumerate(reversed(gram)))
+
+
+def counted(rows, rare=0.0):
+    """What `train` gathers, by plain Python."""
+    out = {}
+    for lang, occurrences in gram_list(rows).items():
+        orders = plain_orders(occurrences)
+        for order in range(1, 5):
+            counts, heads = orders[order], Counter()
+            for gram, n in counts.items():
+                heads[gram[:-1]] += n
+            kept = sorted(g for g, n in counts.items() if n >= rare * sum(counts.values()))
+            once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+            columns = (
+                np.array([key_of(g) for g in kept], dtype=np.uint64),
+                np.array([counts[g] for g in kept]),
+                np.array([heads[g[:-1]] for g in kept]),
+            )
+            out.setdefault(lang, []).append(language.Counts(*columns, language.discount(once, twice)))
+    return out
+
+
+def plain_probability(orders, symbols, gram):
+    """Interpolated Kneser-Ney by its definition."""
+    if not gram:
+        return 1 / (symbols + 1)
+    counts = orders[len(gram)]
+    once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+    cut = once / (once + 2 * twice) if once and twice else 0.5
+    same = {g: n for g, n in counts.items() if g[:-1] == gram[:-1]}
+    lower = plain_probability(orders, symbols, gram[1:])
+    if not same:
+        return lower
+    total = sum(same.values())
+    return max(counts[gram] - cut, 0) / total + cut * len(same) / total * lower
+
+
+@pytest.mark.parametrize("rare", [0.0, 1e-3])
+def test_probabilities_sum_to_one(corpus, rare):
+    models = language.Models.build(counted(corpus, rare))
     alphabet = models.keys[0]
     for order in range(1, language.ORDER + 1):
         for context in models.contexts[order - 1][::7]:
@@ -38,24 +90,55 @@ def test_probabilities_sum_to_one(corpus):
             assert (total <= 1 + 1e-4).all() and (total > 0.98).all()
 
 
+def test_probabilities_are_kneser_ney(corpus, rng):
+    models = language.Models.build(counted(corpus))
+    occurrences = gram_list(corpus)
+    some = rng.sample(sorted({g for own in occurrences.values() for g in own}), 60)
+    some += [(*g[:3], h[3]) for g, h in zip(some, reversed(some))]
+    scores = np.exp(models.score(np.array([key_of(g) for g in some], dtype=np.uint64)))
+    for column, lang in enumerate(models.languages):
+        orders = plain_orders(occurrences[lang])
+        expected = [plain_probability(orders, len(models.keys[0]), g) for g in some]
+        assert np.allclose(scores[:, column], expected, rtol=1e-4)
+
+
+@pytest.mark.parametrize("rare", [0.0, 1e-3])
+def test_statistics_are_of_all_grams(documents, corpus, monkeypatch, rare):
+    found = {}
+    monkeypatch.setattr(language.Models, "build", lambda given: found.update(given))
+    language.train(documents(corpus).repartition(4), rare)
+    expected = counted(corpus, rare)
+    assert found.keys() == expected.keys()
+    for lang, orders in expected.items():
+        for got, own in zip(found[lang], orders, strict=True):
+            assert got.discount == own.discount
+            for name in ("keys", "counts", "heads"):
+                assert (getattr(got, name) == getattr(own, name)).all()
+
+
+def test_a_rare_language_keeps_its_grams(documents, rng):
+    many = [(i, text_in(rng, "aa", 120), "aa") for i in range(600)]
+    few = [(1000 + i, text_in(rng, "bb", 12), "bb") for i in range(30)]
+    unseen = [(2000 + i, text_in(rng, "bb", 12), None) for i in range(20)]
+    models = language.train(documents(many + few), rare=1e-3)
+    column = models.languages.index("bb")
+    h, _, _ = models.entropies([t for _, t, _ in unseen])
+    assert (h.argmin(axis=1) == column).all()
+    whole = language.train(documents(few), rare=0.0)
+    kept = language.train(documents(few), rare=1e-7)
+    assert all((a == b).all() for a, b in zip(whole.keys, kept.keys))
+
+
 def test_counts_are_of_all_rows(documents, corpus):
     found = {(r.lang, r.gram): r.n for r in language.gram_counts(documents(corpus).repartition(4)).collect()}
     expected = {
         (lang, int(np.uint64(k).view(np.int64))): int(n)
-        for lang, (keys, counts) in counted(corpus).items()
-        for k, n in zip(keys, counts)
+        for lang, orders in counted(corpus).items()
+        for k, n in zip(orders[-1].keys, orders[-1].counts)
     }
     assert found == expected
 
 
-def test_pruning_keeps_the_frequent(documents, corpus):
-    grams = language.gram_counts(documents(corpus)).cache()
-    kept = language.frequent(grams, 300)
-    assert 0 < kept.count() <= 300
-    least = kept.agg({"n": "min"}).first()[0]
-    assert grams.where(f"n > {2 * least}").count() <= kept.count()
-
-
 def test_languages(documents, corpus, rng):
     noise = ["".join(rng.choice("qxjzkvwbfgyp") for _ in range(400)), "日本語の文章です" * 30]
     rows = [*corpus, (900, noise[0], None), (901, noise[1], None), (902, "12 34 !!", "aa"), (903, None, "aa"), (None, text_in(rng, "bb", 30), None)]
