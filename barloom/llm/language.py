@@ -131,7 +131,8 @@ def kept_grams(grams: DataFrame, rare: float) -> DataFrame:
     counts; head_n is the count of the context over all n-grams, kept or not."""
     head = F.shiftrightunsigned("gram", 16).alias("head")
     heads = grams.groupBy("lang", "ord", head).agg(F.sum("n").alias("head_n"))
-    often = grams.join(sizes(grams), ["lang", "ord"]).where(F.col("n") >= F.col("total") * rare)
+    totals = F.broadcast(sizes(grams))  # four rows per language
+    often = grams.join(totals, ["lang", "ord"]).where(F.col("n") >= F.col("total") * rare)
     return often.select("lang", "ord", "gram", "n", head).join(heads, ["lang", "ord", "head"]).drop("head")
 
 
