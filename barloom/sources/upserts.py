@@ -10,6 +10,7 @@ from barloom.operators.mutate import insert_ignore, upsert
 from barloom.operators.validate import require_constraints
 from barloom.schemas import PRICE_TABLE, TableSpec
 from barloom.session import scratch_path
+from barloom.sources import folders
 from barloom.sources.files import clustered, read_table
 
 MONTH = "month"
@@ -37,13 +38,13 @@ def _merged_months(
     spec: TableSpec,
     order: list[str],
     policy: str,
+    staged_batch: str,
 ) -> DataFrame | None:
     batch = incoming.select(*spec.schema.fieldNames()).withColumn(
         MONTH, F.date_format(spec.dated_by, "yyyy-MM")
     )
     # the batch feeds two jobs, so it is written once instead of being computed twice
-    staged_batch = scratch_path(spark, "batch")
-    batch.write.parquet(staged_batch)
+    batch.write.mode("overwrite").parquet(staged_batch)
     batch = _read(spark, staged_batch, spec)
 
     # calendar months of the batch: bounded by the calendar, not by the data
@@ -77,17 +78,22 @@ def store(
     name has to be the batch's own for good: another batch under it would be taken
     for this one. One writer per table at a time.
 
+    The staged rows go as soon as the batch is marked stored; of a named staging the mark
+    stays, until the caller knows that the batch cannot come again (`forget`).
+
     A batch with a row that breaks one of the table's `constraints` is refused as a whole.
     """
     incoming = require_constraints(incoming, constraints or {})
+    named = staging is not None
     staging = staging or scratch_path(spark, "months")
-    marker = f"{staging}-state"
+    marker, staged_batch = f"{staging}-state", f"{staging}-batch"
     states = {row["state"] for row in read_table(spark, marker, MARKER).collect()}
     if STORED in states:
         return
     if STAGED not in states:
-        merged = _merged_months(spark, path, incoming, spec, order, policy)
+        merged = _merged_months(spark, path, incoming, spec, order, policy, staged_batch)
         if merged is None:
+            folders.remove(spark, staged_batch)
             return
         merged.write.mode("overwrite").parquet(staging)
         _mark(spark, marker, STAGED)
@@ -99,3 +105,11 @@ def store(
         .parquet(path)
     )
     _mark(spark, marker, STORED)
+    for path_of_batch in [staging, staged_batch, *([] if named else [marker])]:
+        folders.remove(spark, path_of_batch)
+
+
+def forget(spark: SparkSession, staging: str) -> None:
+    """Removes all that `store` has left under a name, of a batch that cannot come again."""
+    for ending in ("", "-batch", "-state"):
+        folders.remove(spark, f"{staging}{ending}")

@@ -9,7 +9,7 @@ from barloom.operators import validate
 from barloom.plans import daily
 from barloom.schemas import BARS, METRIC_TABLE, PRICE_TABLE, RUN_TABLE, RUN_TICKER_TABLE, SCORE_TABLE
 from barloom.sources import files, wide
-from barloom.sources.upserts import read_stored, store
+from barloom.sources.upserts import forget, read_stored, store
 from barloom.streaming.incremental import ingest_new_files
 from conftest import table
 
@@ -153,6 +153,33 @@ def test_stream_ingests_each_file_once(spark, inbox, tmp_path):
     assert got[("AAPL", date(2024, 2, 1))].source == "auto_loader"
 
 
+def test_disk_beside_the_table_is_constant(spark, inbox, tmp_path):
+    prices, checkpoint = str(tmp_path / "prices"), tmp_path / "checkpoint"
+    for i in range(20):
+        folder = inbox(f"f{i:02}.csv", HEADER + f"A,2024-01-{i % 5 + 1:02},1,99,1,{i + 1}.0,10\n")
+    assert ingest_new_files(spark, folder, prices, str(checkpoint), max_files=1) == 20
+    (query,) = (checkpoint / "staged").iterdir()
+    assert [p.name for p in query.iterdir()] == ["19-state"]
+    assert read_stored(spark, prices).count() == 5
+    # a batch whose commit was lost comes again: it is known by its mark and changes nothing
+    before = sorted(map(tuple, read_stored(spark, prices).collect()))
+    for commit in (checkpoint / "commits").glob("*19*"):
+        commit.unlink()
+    files_before = sorted(p.name for p in (tmp_path / "prices").rglob("*.parquet"))
+    assert ingest_new_files(spark, folder, prices, str(checkpoint), max_files=1) == 1
+    assert sorted(map(tuple, read_stored(spark, prices).collect())) == before
+    assert sorted(p.name for p in (tmp_path / "prices").rglob("*.parquet")) == files_before
+
+
+def test_a_stored_batch_leaves_nothing_staged(spark, bars, tmp_path):
+    rows = validate.stamp(bars([("A", 0, 10, 1)]), "s3", datetime(2024, 1, 1))
+    staging = tmp_path / "stage"
+    store(spark, str(tmp_path / "prices"), rows, ["volume"], staging=str(staging))
+    assert sorted(p.name for p in tmp_path.glob("stage*")) == ["stage-state"]
+    forget(spark, str(staging))
+    assert not list(tmp_path.glob("stage*"))
+
+
 def test_ingest_counts(spark, inbox, tmp_path):
     tables = daily.Tables(spark, str(tmp_path / "tables"))
     raw = files.scan_csv(spark, inbox("a.csv", TWO_TICKERS))
