@@ -117,6 +117,20 @@ def delete_portfolios(
     )
 
 
+def by_name(portfolios: DataFrame) -> DataFrame:
+    """Stored portfolios, their name as the key of their holdings."""
+    return portfolios.withColumnRenamed("name", "portfolio")
+
+
+def _with_holdings(page: DataFrame, holdings: DataFrame) -> DataFrame:
+    """A page of portfolios with the holdings of each as a sorted array; only theirs are gathered."""
+    held = F.array_sort(F.collect_list(F.struct("ticker", "weight")))
+    of_page = holdings.join(F.broadcast(page.select("portfolio")), "portfolio", "left_semi")
+    legs = of_page.groupBy("portfolio").agg(held.alias("holdings"))
+    none = F.array().cast("array<struct<ticker:string,weight:double>>")
+    return page.join(legs, "portfolio", "left").withColumn("holdings", F.coalesce("holdings", none))
+
+
 def portfolio_list(
     portfolios: DataFrame, holdings: DataFrame, limit: int = 50, offset: int = 0
 ) -> DataFrame:
@@ -126,13 +140,18 @@ def portfolio_list(
     """
     check_page(limit, offset, 500)
     page = portfolios.select("portfolio").orderBy("portfolio").offset(offset).limit(limit)
-    held = F.array_sort(F.collect_list(F.struct("ticker", "weight")))
-    legs = holdings.join(F.broadcast(page), "portfolio", "left_semi").groupBy("portfolio").agg(
-        held.alias("holdings")
-    )
-    none = F.array().cast("array<struct<ticker:string,weight:double>>")
-    return page.join(legs, "portfolio", "left").select(
-        "portfolio", F.coalesce("holdings", none).alias("holdings")
+    return _with_holdings(page, holdings)
+
+
+def portfolio_page(
+    portfolios: DataFrame, holdings: DataFrame, limit: int = 50, offset: int = 0
+) -> DataFrame:
+    """A page of stored portfolios in the order of their creation, then name: portfolio_id, name,
+    created_at, updated_at and the holdings as a sorted array."""
+    check_page(limit, offset, 500)
+    ordered = by_name(portfolios).orderBy("created_at", "portfolio").offset(offset).limit(limit)
+    return _with_holdings(ordered, holdings).select(
+        "portfolio_id", F.col("portfolio").alias("name"), "created_at", "updated_at", "holdings"
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import (
@@ -26,6 +26,7 @@ from barloom.plans import reports
 from barloom.schemas import BAR_COLUMNS, BAR_KEY, METRIC_COLUMNS, METRIC_KEY, SCORE_KEY
 from barloom.session import scratch_path
 from barloom.sources import files, wide
+from barloom.sources.portfolios import PortfolioStore
 from barloom.sources.upserts import read_stored
 from barloom.streaming.incremental import ingest_new_files
 
@@ -33,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TICKER = "S000003"
 BOOK = "P000003"
+CLOSED_BOOK = "P000002"
 WINDOW_DAYS = 365
 DENSE = 50  # bars a ticker needs in the window to be eligible
 YEAR = (date(2000, 1, 1), date(2000, 12, 31))
@@ -618,6 +620,35 @@ def portfolio_list(s, d):
     return page.select("portfolio", F.array_join(legs, ",").alias("holdings"))
 
 
+def _stored_books(s, d) -> PortfolioStore:
+    """Books created from shipments, one replaced by what was returned, one deleted."""
+    books = PortfolioStore(s, scratch_path(s, "portfolios"))
+    books.create(b.supplier_books(s, d), datetime(2024, 1, 1))
+    books.replace(b.returned_books(s, d).where(F.col("portfolio") == BOOK), datetime(2024, 1, 2))
+    books.delete(books.holdings().where(F.col("portfolio") == CLOSED_BOOK))
+    return books
+
+
+def _minutes(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd HH:mm").alias(column)
+
+
+@query
+def portfolio_stored(s, d):
+    books = _stored_books(s, d)
+    named = books.portfolios().select(F.col("name").alias("portfolio"), "created_at", "updated_at")
+    return books.holdings().join(named, "portfolio").select(
+        "portfolio", _minutes("created_at"), _minutes("updated_at"), "ticker", F.round("weight", 6).alias("weight")
+    )
+
+
+@query
+def portfolio_stored_page(s, d):
+    page = _stored_books(s, d).page(limit=10, offset=1)
+    tickers = F.array_join(F.transform("holdings", lambda x: x["ticker"]), ",")
+    return page.select("name", _minutes("created_at"), _minutes("updated_at"), tickers.alias("tickers"))
+
+
 @query
 def portfolio_aligned_returns(s, d):
     aligned = portfolio.aligned_returns(b.prices_type(s, d), b.supplier_books(s, d))

@@ -21,6 +21,10 @@ from oracles.ctes import (
 
 TICKER = "S000003"
 BOOK = "P000003"
+CLOSED_BOOK = "P000002"
+UPDATED = f"CASE portfolio WHEN '{BOOK}' THEN '2024-01-02 00:00' ELSE '2024-01-01 00:00' END"
+LEFT_BOOKS = f"""(SELECT * FROM books WHERE portfolio NOT IN ('{BOOK}', '{CLOSED_BOOK}') UNION ALL
+                  SELECT * FROM returned WHERE portfolio = '{BOOK}')"""
 KEYS = "ticker, window_start, window_end"
 ROUNDED = ", ".join(f"{r(m)} AS {m}" for m in METRICS)
 RETURNS_FRAME = "SELECT ticker, close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1 AS r FROM prices_s"
@@ -555,6 +559,20 @@ STATEMENTS: dict[str, str] = {
            FROM books GROUP BY portfolio ORDER BY portfolio LIMIT 10 OFFSET 5""",
         "books",
     ),
+    "portfolio_stored": with_ctes(
+        f"""SELECT portfolio, '2024-01-01 00:00' AS created_at, {UPDATED} AS updated_at, ticker,
+                   {r('weight / sum(weight) OVER (PARTITION BY portfolio)')} AS weight
+            FROM {LEFT_BOOKS}""",
+        "books",
+        "returned",
+    ),
+    "portfolio_stored_page": with_ctes(
+        f"""SELECT portfolio AS name, '2024-01-01 00:00' AS created_at, {UPDATED} AS updated_at,
+                   string_agg(ticker, ',' ORDER BY ticker) AS tickers
+            FROM {LEFT_BOOKS} GROUP BY portfolio ORDER BY portfolio LIMIT 10 OFFSET 1""",
+        "books",
+        "returned",
+    ),
     "portfolio_aligned_returns": with_ctes(
         f"SELECT portfolio, slot AS date, {r('pr')} AS portfolio_return FROM days_by_date",
         "days_by_date",

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from barloom.operators import portfolio
 from barloom.operators.quantiles import exact_quantile
 from barloom.operators.risk import risk_metrics
 from barloom.schemas import METRIC_COLUMNS
+from barloom.sources.portfolios import PortfolioStore
 from conftest import table
 
 HOLDINGS = "portfolio string, ticker string, weight double"
@@ -174,3 +176,47 @@ def test_exact_quantile_equals_percentile(spark, q):
     assert set(got) == set(want)
     for k in want:
         assert got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-12)
+
+
+@pytest.fixture
+def books(spark, tmp_path):
+    return PortfolioStore(spark, str(tmp_path / "books"))
+
+
+def listed(store):
+    return {
+        r.name: (r.created_at.day, r.updated_at.day, {h.ticker: h.weight for h in r.holdings})
+        for r in store.page().collect()
+    }
+
+
+def test_stored_portfolios(spark, books):
+    wanted = lambda *rows: spark.createDataFrame(rows, HOLDINGS)
+    assert books.page().count() == 0 and books.holdings().count() == 0
+    books.create(wanted(("p", " a", 1.0), ("p", "B", 3.0), ("q", "A", 2.0), ("r", None, None)), datetime(2024, 1, 1))
+    assert listed(books) == {"p": (1, 1, {"A": 0.25, "B": 0.75}), "q": (1, 1, {"A": 1.0})}
+    again = wanted(("p", "C", 1.0), ("s", "C", 2.0))
+    assert [tuple(r) for r in books.conflicts(again).collect()] == [("p", "exists")]
+    books.create(again, datetime(2024, 1, 2))
+    assert listed(books)["p"] == (1, 1, {"A": 0.25, "B": 0.75}) and listed(books)["s"] == (2, 2, {"C": 1.0})
+    ids = {r.name: r.portfolio_id for r in books.portfolios().collect()}
+    books.replace(wanted(("q", "X", 1.0), ("q", "Y", 1.0), ("nobody", "X", 1.0), ("s", "X", -1.0)), datetime(2024, 1, 3))
+    assert listed(books)["q"] == (1, 3, {"X": 0.5, "Y": 0.5}) and listed(books)["s"] == (2, 2, {"C": 1.0})
+    assert {r.name: r.portfolio_id for r in books.portfolios().collect()} == ids and len(set(ids.values())) == 3
+    books.delete(spark.createDataFrame([("p",), ("p",), ("nobody",)], "portfolio string"))
+    assert set(listed(books)) == {"q", "s"}
+    assert {r.portfolio for r in books.holdings().collect()} == {"q", "s"}
+    assert [r.name for r in books.page(limit=1, offset=1).collect()] == ["s"]
+
+
+def test_a_commit_that_dies_changes_neither_table(spark, books, tmp_path):
+    for day in (1, 2, 3):
+        books.create(spark.createDataFrame([(f"p{day}", "A", 1.0)], HOLDINGS), datetime(2024, 1, day))
+    seen = books.holdings()
+    broken = spark.createDataFrame([("p9", "A", 1.0)], HOLDINGS)
+    with pytest.raises(Exception):
+        books._commit(broken, lambda rows, write: write(rows).select("no such column"))
+    assert set(listed(books)) == {"p1", "p2", "p3"} and books.holdings().count() == 3
+    books.create(spark.createDataFrame([("p4", "A", 1.0)], HOLDINGS), datetime(2024, 1, 4))
+    assert seen.count() == 3  # the version before is still there, dead and older ones are not
+    assert len(list((tmp_path / "books").iterdir())) == 2
