@@ -12,6 +12,7 @@ from barloom.operators import (
     audit,
     changes,
     latest,
+    metric_state,
     mutate,
     portfolio,
     quality,
@@ -228,6 +229,24 @@ _on_supplier("return_stats", risk.return_stats)
 _on_supplier("rolling_vol_var", rolling.rolling_vol_var)
 
 
+@query
+def risk_metrics_incremental(s, d):
+    """The states of all but the last three days, stored, then advanced by each of those days."""
+    prices = b.prices_supplier(s, d).select("ticker", "date", "close")
+    last = b.last_ship_date(s, d)
+
+    def stored(state: DataFrame) -> DataFrame:
+        path = scratch_path(s, "metric-state")
+        state.write.parquet(path)
+        return s.read.schema(metric_state.STATE).parquet(path)
+
+    state = stored(metric_state.metric_state(prices.where(F.col("date") <= F.date_sub(last, 3))))
+    for back in (2, 1, 0):
+        day = prices.where(F.col("date") == F.date_sub(last, back))
+        state = stored(metric_state.advance(state, day))
+    return metric_state.metrics_from_state(metric_state.rebuild(state, prices))
+
+
 @query
 def risk_metrics_trailing(s, d):
     return risk.risk_metrics_trailing(b.prices_supplier(s, d), anchor=b.last_ship_date(s, d))

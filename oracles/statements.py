@@ -210,6 +210,7 @@ STATEMENTS: dict[str, str] = {
         "prices_s",
     ),
     "risk_metrics": with_ctes(metric_set("prices_s"), "prices_s"),
+    "risk_metrics_incremental": with_ctes(metric_set("prices_s"), "prices_s"),
     "risk_metrics_trailing": trailing,
     "risk_metrics_grouped_map": trailing,
     "risk_metrics_window": with_ctes(
