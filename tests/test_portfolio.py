@@ -167,7 +167,7 @@ def test_exact_quantile_equals_percentile(spark, q):
         F.when(F.col("id") % 5 == 0, 0.25).otherwise(F.rand(3) * 2 - 1).alias("v"),
     ).unionByName(spark.createDataFrame([("one", -1.5), ("two", 1.0), ("two", 4.0), ("none", None)], "k string, v double"))
     rows = rows.persist()
-    got = {r.k: (r.n, r.quantile) for r in exact_quantile(rows, ["k"], "v", q, bin_width=1e-2).collect()}
+    got = {r.k: (r.n, r.quantile) for r in exact_quantile(rows, ["k"], "v", q).collect()}
     want = {
         r.k: (r.n, r.p)
         for r in rows.where("v is not null").groupBy("k").agg(F.count("v").alias("n"), F.percentile("v", F.lit(q)).alias("p")).collect()
