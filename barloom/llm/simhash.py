@@ -86,7 +86,8 @@ def links(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataFrame:
         F.col("fp").alias("a"), key(F.col("value").bitwiseXOR(F.col("mask")))
     )
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return probes.join(entries, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    # the ball multiplies a side that looks small, so it must never be taken for a broadcast
+    return probes.join(entries.hint("merge"), "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def _rooted(firsts: DataFrame, distance: int) -> DataFrame:
