@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.operators import (
     audit,
     changes,
+    distinct_counts,
     latest,
     metric_state,
     mutate,
@@ -688,3 +689,29 @@ def portfolio_risk(s, d):
 @query
 def portfolio_risk_positional(s, d):
     return portfolio.portfolio_risk(b.prices_type(s, d), b.supplier_books(s, d), align="position")
+
+
+# -- distinct counts from daily bitmaps --------------------------------------------
+
+
+def _daily_tickers(s, d) -> DataFrame:
+    """Daily rows of two batches of bars, stored; the second batch extends the numbers."""
+    prices, last = b.prices_supplier(s, d), b.last_ship_date(s, d)
+    early = F.col("ingested_at") < F.date_sub(last, 15).cast("timestamp")
+    numbers, daily = distinct_counts.no_numbers(prices), scratch_path(s, "daily-tickers")
+    for batch in (prices.where(early), prices.where(~early)):
+        path = scratch_path(s, "ticker-numbers")
+        distinct_counts.numbered(numbers, batch).write.parquet(path)
+        numbers = s.read.schema(distinct_counts.NUMBERS).parquet(path)
+        distinct_counts.daily_tickers(batch, numbers).write.mode("append").parquet(daily)
+    return s.read.schema(distinct_counts.DAILY).parquet(daily)
+
+
+@query
+def source_distribution_daily(s, d):
+    return reports.source_distribution_daily(_daily_tickers(s, d))
+
+
+@query
+def ingestion_volume_daily(s, d):
+    return reports.ingestion_volume_daily(_daily_tickers(s, d), b.last_ship_date(s, d))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import lit_or_col, percent, rounded, symbol, whole_hours
 from barloom.operators.latest import latest_metrics
+from barloom.operators.distinct_counts import merged_counts
 from barloom.operators.quantiles import exact_quantile
 
 STALE_DAYS = 4
@@ -223,6 +224,19 @@ def source_distribution(prices: DataFrame) -> DataFrame:
     )
 
 
+def ingestion_volume_daily(daily: DataFrame, as_of: date | Column, days: int = 30) -> DataFrame:
+    """`ingestion_volume` from the rows of `distinct_counts.daily_tickers`."""
+    recent = daily.where(F.col("ingest_date") >= F.date_sub(lit_or_col(as_of), days))
+    return merged_counts(recent, ["ingest_date"], "records_ingested", "tickers_touched").orderBy(
+        "ingest_date"
+    )
+
+
+def source_distribution_daily(daily: DataFrame) -> DataFrame:
+    """`source_distribution` from the rows of `distinct_counts.daily_tickers`."""
+    return merged_counts(daily, ["source"], "record_count", "ticker_count")
+
+
 def ingest_summary(prices: DataFrame) -> DataFrame:
     return prices.agg(
         F.count(F.lit(1)).alias("total_rows"),

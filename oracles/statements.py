@@ -490,12 +490,23 @@ STATEMENTS: dict[str, str] = {
            FROM prices_s GROUP BY source""",
         "prices_s",
     ),
+    "source_distribution_daily": with_ctes(
+        """SELECT source, count(*) AS record_count, count(DISTINCT ticker) AS ticker_count
+           FROM prices_s GROUP BY source""",
+        "prices_s",
+    ),
     "ingestion_volume": with_ctes(
         f"""SELECT CAST(ingested_at AS DATE) AS ingest_date, count(*) AS records_ingested,
                    count(DISTINCT ticker) AS tickers_touched
             FROM prices_s WHERE ingested_at >= {LAST_DATE} - 30 GROUP BY 1""",
         "prices_s",
     ),
+    "ingestion_volume_daily": with_ctes(
+        f"""SELECT CAST(ingested_at AS DATE) AS ingest_date, count(*) AS records_ingested,
+                   count(DISTINCT ticker) AS tickers_touched
+            FROM prices_s WHERE ingested_at >= {LAST_DATE} - 30 GROUP BY 1""",
+        "prices_s",
+    ),
     "coverage_summary": with_ctes(
         f"""
         SELECT (SELECT count(*) FROM tracked WHERE active) AS universe_size,
