@@ -3,9 +3,11 @@
 holdings(portfolio, ticker, weight) has one row per portfolio and ticker.
 A ticker can be in most portfolios and a portfolio can hold most tickers. Group
 totals are aggregated partially and joined back. A ticker's returns are packed by
-year, each year with its moments and a bitmap of its days; holdings meet these rows.
-The days on which a portfolio is complete are the conjunction of bitmaps, and only they
-are expanded, once, after the shuffle by portfolio and year.
+year, each year with its moments and a bitmap of its days; holdings meet moments and bitmaps.
+The days on which a portfolio is complete are the conjunction of bitmaps. Portfolios are
+dealt into blocks; a packed year is sent once to every block that holds its ticker, not with
+every holding, and only complete days are expanded, where their portfolio is. All that
+follows by portfolio stays in its block, so no day is ever shuffled.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from barloom.schemas import HOLDING_KEY, METRIC_COLUMNS
 NAME_LIMIT = 100
 BUCKET_SLOTS = 256  # returns of one ticker in one array, by position
 WORD_BITS, WORDS = 62, 6  # bitmaps of a bucket's slots: at least 366 bits
+BLOCKS = 256  # portfolios are dealt into so many, each a task
 
 # -- definitions ---------------------------------------------------------------
 
@@ -203,7 +206,8 @@ def _packed(returns: DataFrame) -> DataFrame:
 
 
 def _legs(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
-    """Every holding in every bucket in which its portfolio has complete slots.
+    """Every holding in every bucket in which its portfolio has complete slots, in the
+    portfolio's block; `year` is the ticker's packed bucket.
 
     all_* is the bitmap of the slots at which no holding is missing, the conjunction of the
     holdings' own bitmaps; nothing is expanded to find it.
@@ -215,7 +219,7 @@ def _legs(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
         returns.select("ticker").distinct(), "ticker", "left_semi"
     )
     counted = with_group_totals(held, "portfolio", {"needed": F.count(F.lit(1))})
-    legs = counted.join(packed, "ticker")
+    legs = counted.join(packed.drop("returns", "n", "s", "q"), "ticker")
     complete = (
         legs.groupBy("portfolio", "bucket")
         .agg(
@@ -226,7 +230,40 @@ def _legs(prices: DataFrame, holdings: DataFrame, align: str) -> DataFrame:
         .where(F.col("legs") == F.col("needed"))
         .select("portfolio", "bucket", *[f"all_{k}" for k in range(WORDS)])
     )
-    return legs.join(complete, ["portfolio", "bucket"])
+    return _with_years(legs.join(complete, ["portfolio", "bucket"]), packed, held)
+
+
+def _with_years(legs: DataFrame, packed: DataFrame, held: DataFrame) -> DataFrame:
+    """Legs in their portfolio's block with their ticker's packed bucket.
+
+    Legs and a copy of the packed buckets for every block go through one shuffle by block; within
+    it a packed row precedes the legs of its ticker, which take it over as they pass.
+    """
+    block = F.pmod(F.xxhash64("portfolio"), F.lit(BLOCKS)).cast("int").alias("block")
+    facts = ["returns", "n", "s", "q", *[f"has_{k}" for k in range(WORDS)]]
+    copies = packed.join(held.select(block, "ticker").distinct(), "ticker").select(
+        "block", "bucket", "ticker", F.struct(*facts).alias("year")
+    )
+    own = legs.select(
+        block, "bucket", *HOLDING_KEY, "weight", *[f"all_{k}" for k in range(WORDS)], F.lit(True).alias("leg")
+    )
+    met = Window.partitionBy("block", "bucket", "ticker").orderBy(F.asc_nulls_first("leg"))
+    so_far_met = met.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        own.unionByName(copies, allowMissingColumns=True)
+        .repartitionById(BLOCKS, "block")
+        .withColumn("year", F.first("year").over(so_far_met))
+        .where("leg")
+        .drop("leg")
+    )
+
+
+def _whole() -> Column:
+    """Whether a leg's bucket has complete slots only."""
+    whole = F.lit(True)
+    for k in range(WORDS):
+        whole = whole & (F.col(f"all_{k}") == F.col(f"year.has_{k}"))
+    return whole
 
 
 def _complete_returns() -> Column:
@@ -237,23 +274,19 @@ def _complete_returns() -> Column:
         word = F.get(words, F.floor(x["bit"] / WORD_BITS).cast("int"))
         return F.call_function("getbit", word, x["bit"] % WORD_BITS) == 1
 
-    whole = F.lit(True)
-    for k in range(WORDS):
-        whole = whole & (F.col(f"all_{k}") == F.col(f"has_{k}"))
-    return F.when(whole, F.col("returns")).otherwise(F.filter("returns", complete))
+    return F.when(_whole(), F.col("year.returns")).otherwise(F.filter("year.returns", complete))
 
 
 def _complete_days(legs: DataFrame) -> DataFrame:
-    """(portfolio, slot, portfolio_return) of the slots at which no holding is missing.
+    """(block, portfolio, slot, portfolio_return) of the slots at which no holding is missing.
 
-    The only place where holdings x slots become rows; their buckets are shuffled as arrays.
+    The only place where holdings x slots become rows; their sum is taken in their block.
     """
     gain = F.sum(F.col("weight") * F.col("daily_return"))
     return (
-        legs.select("portfolio", "bucket", "weight", F.inline(_complete_returns()))
-        .groupBy("portfolio", "bucket", "slot")
+        legs.select("block", "portfolio", "weight", F.inline(_complete_returns()))
+        .groupBy("block", "portfolio", "slot")
         .agg((gain / F.sum("weight")).alias("portfolio_return"))
-        .select("portfolio", "slot", "portfolio_return")
     )
 
 
@@ -269,36 +302,35 @@ def _leg_volatility(legs: DataFrame) -> DataFrame:
         r = x["daily_return"]
         return F.struct((m["n"] + 1).alias("n"), (m["s"] + r).alias("s"), (m["q"] + r * r).alias("q"))
 
-    whole = F.lit(True)
-    for k in range(WORDS):
-        whole = whole & (F.col(f"all_{k}") == F.col(f"has_{k}"))
-    moments = F.when(whole, F.struct("n", "s", "q")).otherwise(
+    moments = F.when(_whole(), F.struct("year.n", "year.s", "year.q")).otherwise(
         F.aggregate(_complete_returns(), zero, add)
     )
     n, s, q = F.sum("m.n"), F.sum("m.s"), F.sum("m.q")
     spread = F.greatest(q - F.try_divide(s * s, n), F.lit(0.0))
     return (
-        legs.select("portfolio", "ticker", "weight", moments.alias("m"))
-        .groupBy("portfolio", "ticker")
+        legs.select("block", "portfolio", "ticker", "weight", moments.alias("m"))
+        .groupBy("block", "portfolio", "ticker")
         .agg(
             F.max("weight").alias("weight"),
             annualized(F.sqrt(F.try_divide(spread, n - 1))).alias("vol"),
         )
-        .groupBy("portfolio")
+        .groupBy("block", "portfolio")
         .agg(F.try_divide(F.sum(F.col("weight") * F.col("vol")), F.sum("weight")).alias("leg_vol"))
     )
 
 
+def _slot_name(align: str) -> str:
+    return "date" if align == "date" else "position"
+
+
 def aligned_returns(prices: DataFrame, holdings: DataFrame, align: str = "date") -> DataFrame:
     """Weighted return per portfolio and day, days with a missing leg left out."""
     days = _complete_days(_legs(prices, holdings, align))
-    return days.withColumnRenamed("slot", "date" if align == "date" else "position").select(
-        "portfolio", "date" if align == "date" else "position", "portfolio_return"
-    )
+    return days.select("portfolio", F.col("slot").alias(_slot_name(align)), "portfolio_return")
 
 
-def _path(order: str) -> Column:
-    return F.product(F.col("portfolio_return") + 1.0).over(so_far("portfolio", order))
+def _path(order: str, by: tuple[str, ...] = ("portfolio",)) -> Column:
+    return F.product(F.col("portfolio_return") + 1.0).over(so_far([*by], order))
 
 
 def cumulative_returns(aligned: DataFrame, order: str = "date") -> DataFrame:
@@ -306,6 +338,13 @@ def cumulative_returns(aligned: DataFrame, order: str = "date") -> DataFrame:
     return aligned.select("portfolio", order, _path(order).alias("cumulative"))
 
 
+def portfolio_growth(prices: DataFrame, holdings: DataFrame, align: str = "date") -> DataFrame:
+    """`cumulative_returns` of `aligned_returns`, each portfolio compounded in its block."""
+    days = _complete_days(_legs(prices, holdings, align))
+    path = _path("slot", ("block", "portfolio")).alias("cumulative")
+    return days.select("portfolio", F.col("slot").alias(_slot_name(align)), path)
+
+
 def portfolio_risk(
     prices: DataFrame,
     holdings: DataFrame,
@@ -321,20 +360,21 @@ def portfolio_risk(
     legs = _legs(prices, holdings, align)
     days = _complete_days(legs)
     r = "portfolio_return"
-    whole = Window.partitionBy("portfolio")
-    frame = days.withColumn("path", _path("slot"))
-    frame = frame.withColumn("peak", F.max("path").over(so_far("portfolio", "slot")))
+    by = ["block", "portfolio"]
+    whole = Window.partitionBy(*by)
+    frame = days.withColumn("path", _path("slot", tuple(by)))
+    frame = frame.withColumn("peak", F.max("path").over(so_far(by, "slot")))
     frame = frame.withColumn("drawdown", ieee_ratio(F.col("peak") - F.col("path"), F.col("peak")))
     for name, tail in TAIL.items():
         frame = frame.withColumn(f"q_{name}", F.percentile(r, F.lit(tail)).over(whole))
-    measures = frame.groupBy("portfolio").agg(
+    measures = frame.groupBy(*by).agg(
         F.count(r).alias("days"),
         annualized(F.stddev_samp(r)).alias("annualized_volatility"),
         *[as_loss(F.min(f"q_{n}")).alias(f"var_{n}") for n in TAIL],
         *[cvar_of(f"q_{n}", r).alias(f"cvar_{n}") for n in TAIL],
         sharpe_of(risk_free_rate, 1, r).alias("sharpe_ratio"),
         worst_fall().alias("max_drawdown"),
-    ).join(_leg_volatility(legs), "portfolio")
+    ).join(_leg_volatility(legs).drop("block"), "portfolio")
     own = F.col("annualized_volatility")
     ratio = F.when(own > 0, F.try_divide(F.col("leg_vol"), own)).otherwise(F.lit(1.0))
     return (

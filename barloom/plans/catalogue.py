@@ -677,8 +677,8 @@ def portfolio_aligned_returns(s, d):
 
 @query
 def portfolio_cumulative(s, d):
-    aligned = portfolio.aligned_returns(b.prices_type(s, d), b.supplier_books(s, d))
-    return portfolio.cumulative_returns(aligned).withColumn("cumulative", F.round("cumulative", 6))
+    grown = portfolio.portfolio_growth(b.prices_type(s, d), b.supplier_books(s, d))
+    return grown.withColumn("cumulative", F.round("cumulative", 6))
 
 
 @query

@@ -220,3 +220,28 @@ def test_a_commit_that_dies_changes_neither_table(spark, books, tmp_path):
     books.create(spark.createDataFrame([("p4", "A", 1.0)], HOLDINGS), datetime(2024, 1, 4))
     assert seen.count() == 3  # the version before is still there, dead and older ones are not
     assert len(list((tmp_path / "books").iterdir())) == 2
+
+
+# -- blocks of portfolios ----------------------------------------------------------
+
+
+def test_growth_in_blocks_equals_growth_of_aligned_returns(closes, spark):
+    prices = closes(A=path(1, 12), B=[None, *path(2, 8), None, 5.0, 6.0], C=path(3, 12))
+    prices = prices.unionByName(prices.where("ticker = 'C' and day(date) = 5"))  # a bar twice
+    held = spark.createDataFrame(
+        [(f"p{i}", t, 1.0 + i) for i in range(9) for t in "ABC"[: 1 + i % 3]], HOLDINGS
+    )
+    grown = table(portfolio.portfolio_growth(prices, held), "portfolio", "date")
+    path_of = portfolio.cumulative_returns(portfolio.aligned_returns(prices, held))
+    assert grown == table(path_of, "portfolio", "date") and len({r["portfolio"] for r in grown}) == 9
+
+
+def test_no_day_and_no_holdings_returns_are_shuffled(closes, spark):
+    held = spark.createDataFrame([("p", "A", 1.0), ("p", "B", 2.0)], HOLDINGS)
+    grown = portfolio.portfolio_growth(closes(A=path(1), B=path(2)), held)
+    tree = grown._jdf.queryExecution().executedPlan().toString()
+    above, below = tree.split("Generate", 1)
+    assert "Exchange" not in above  # days stay in their block
+    # the one shuffle below takes packed years once per block: legs go beside them, without any
+    shuffled, legs = below.split("Union", 1)
+    assert shuffled.count("Exchange") == 1 and "null AS year" in legs.splitlines()[1]
