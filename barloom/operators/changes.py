@@ -78,7 +78,9 @@ def snapshot_diff(
     ranges = F.broadcast(changed_ranges(before, after, keys, compare))
 
     def touched(rows: DataFrame) -> DataFrame:
-        ranged = rows.withColumn("_range", _range(rows, keys))
+        # the range comes out of a generator, so that the join can't sink below the aggregate of a
+        # computed version: it is read where it was digested instead of being computed again
+        ranged = rows.select("*", F.explode(F.array(_range(rows, keys))).alias("_range"))
         return ranged.join(ranges, F.col("_range") == F.col("range"), "left_semi")
 
     old = touched(before).select(F.struct(*columns).alias("old"))

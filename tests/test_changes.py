@@ -84,3 +84,19 @@ def test_unchanged_ranges_are_not_shuffled(spark, tmp_path):
     ranges = changes.changed_ranges(frame, spark.read.parquet(new_path), KEYS, ["close", "volume"])
     kept = frame.withColumn("range", changes._range(frame, KEYS)).join(ranges, "range", "left_semi")
     assert ranges.count() == 1 and kept.count() <= 31 * 20 and kept.where("ticker <> 'T3'").count() < 200
+
+
+def test_computed_versions_are_computed_once(spark):
+    lines = spark.range(300).select(
+        (F.col("id") % 7).cast("string").alias("ticker"), F.expr("date_add(date'2024-01-01', int(id % 40))").alias("date"), "id"
+    )
+    one = lines.groupBy("ticker", "date").agg(F.max("id").alias("volume"))
+    two = lines.where("id % 3 > 0").groupBy("ticker", "date").agg(F.max("id").alias("volume"))
+    feed = changes.snapshot_diff(one, two, ["ticker", "date"], 1)
+    kinds = {r._change_type: r.n for r in feed.groupBy("_change_type").agg(F.count("*").alias("n")).collect()}
+    old, new = ({(r.ticker, r.date): r.volume for r in v.collect()} for v in (one, two))
+    moved = sum(new[k] != old[k] for k in new)
+    assert moved and kinds == {"delete": len(set(old) - set(new)), "update_preimage": moved, "update_postimage": moved}
+    # the semi join stays above the aggregates, so both are those that were digested
+    above = feed._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[0]
+    assert "LeftSemi" in above and "Generate" in above
