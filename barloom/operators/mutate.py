@@ -11,6 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _unkeyed(keys: list[str]) -> Column:
+    unkeyed = F.lit(False)
+    for key in keys:
+        unkeyed = unkeyed | F.isnull(key)
+    return unkeyed
+
+
 def _one_per_key(rows: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     # every other column extends the order, so equal ranks cannot leave the pick to chance
@@ -49,8 +56,16 @@ def insert_ignore_count(
     target: DataFrame, source: DataFrame, keys: list[str]
 ) -> DataFrame:
     """Number of keys an insert-ignore would add; 0 for an empty batch."""
-    unknown = source.select(*keys).distinct().join(target.select(*keys), keys, "left_anti")
-    return unknown.agg(F.count(F.lit(1)).alias("inserted"))
+    # one aggregation of flagged keys: nothing is sorted or joined
+    flagged = source.select(*keys, F.lit(False).alias("_stored")).unionByName(
+        target.select(*keys, F.lit(True).alias("_stored"))
+    )
+    per_key = flagged.groupBy(*keys).agg(
+        F.min("_stored").alias("_only_stored"), F.max("_stored").alias("_stored")
+    )
+    # a NULL key matches no stored one
+    added = ~F.col("_only_stored") & (~F.col("_stored") | _unkeyed(keys))
+    return per_key.agg(F.count_if(added).alias("inserted"))
 
 
 def upsert(

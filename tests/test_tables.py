@@ -220,3 +220,17 @@ def test_complete_run(runs, closes):
     assert audit.run_success_rate(done.where("false"), date(2024, 1, 10)).first().success_rate_pct is None
     asked = {(r.run_type, r.ticker_source, r.runs) for r in audit.run_parameters(runs).collect()}
     assert asked == {("ingest", "list", 1), ("metrics", "universe", 1)}
+
+
+# -- what a batch costs ------------------------------------------------------------
+
+
+def test_insert_ignore_count_joins_nothing_and_null_keys_match_nothing(spark):
+    kind = "k string, d int"
+    stored = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3)], kind)
+    batch = spark.createDataFrame([("a", 1), ("c", 1), ("c", 1), (None, 3), (None, 3), ("b", None)], kind)
+    counted = mutate.insert_ignore_count(stored, batch, ["k", "d"])
+    assert counted.first().inserted == 3  # (c, 1), (NULL, 3), (b, NULL)
+    assert mutate.insert_ignore_count(stored, batch.limit(0), ["k", "d"]).first().inserted == 0
+    tree = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in tree and "Sort" not in tree
