@@ -7,7 +7,7 @@ After that every key is unique on both sides and no join key can be hot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -82,8 +82,7 @@ def upsert(
     incoming = last_per_key(source, keys, order)
     rest = [c for c in target.columns if c not in keys]
     if set_cols is None or set(rest) <= set(set_cols):
-        kept = target.join(incoming.select(*keys), keys, "left_anti")
-        return kept.select(*target.columns).unionByName(incoming.select(*target.columns))
+        return _replaced(target, incoming.select(*target.columns), keys)
     return merge(
         target,
         incoming.select(*target.columns),
@@ -92,6 +91,19 @@ def upsert(
     )
 
 
+def _replaced(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Incoming rows, and the target's without an incoming one; the batch is computed once.
+
+    Rows with a NULL key match nothing; a hash of the row keeps them apart.
+    """
+    columns = target.columns
+    both = target.withColumn("_new", F.lit(False)).unionByName(incoming.withColumn("_new", F.lit(True)))
+    apart = F.when(_unkeyed(keys), F.xxhash64(*columns))
+    match = F.max("_new").over(Window.partitionBy(*keys, apart))
+    stays = F.col("_new") | ~F.col("_match") | _unkeyed(keys)
+    return both.withColumn("_match", match).where(stays).select(*columns)
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,

@@ -234,3 +234,13 @@ def test_insert_ignore_count_joins_nothing_and_null_keys_match_nothing(spark):
     assert mutate.insert_ignore_count(stored, batch.limit(0), ["k", "d"]).first().inserted == 0
     tree = counted._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in tree and "Sort" not in tree
+
+
+def test_upsert_computes_its_batch_once_and_keeps_what_does_not_match(spark):
+    kind = "k string, v int"
+    stored = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("b", 4), (None, 5), (None, 5)], kind)
+    batch = spark.createDataFrame([("a", 7), ("a", 9), ("c", 8), (None, 6)], kind)
+    merged = mutate.upsert(stored, batch, ["k"], ["v"])
+    got = sorted((str(r.k), r.v) for r in merged.collect())
+    assert got == [("None", 5), ("None", 5), ("None", 6), ("a", 9), ("b", 3), ("b", 4), ("c", 8)]
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
