@@ -6,6 +6,9 @@ round rakes all leaves into their parents and then takes chain nodes with a sing
 out, no two neighbours at once, their weight moving to the child's link. Rounds shrink
 the tree by a constant share however deep it is. Going back through the rounds, the
 nodes taken out get their totals from the child they were taken out above.
+
+Nodes that one conversation alone passes need no round: they save nothing and have one leaf
+below. Of the others, stretches with the same members are one node of the contraction.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ BLOCK = 4096
 ENDS = 4096
 NODE = "struct<high:bigint,low:bigint>"
 TOTALS = ("leaves", "saved")
+# Rounds that are gone back through in one plan: each has a join, and each join may keep a table in memory.
+ROUNDS_AT_ONCE = 4
 
 
 def _root() -> Column:
@@ -142,8 +147,9 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
     """(node, leaves, saved): sums over each node's subtree, the node included.
 
     `tree` has node (unique), parent (NULL for the roots), leaves and saved, the node's own
-    amounts. Every round is a table in the shared folder; a hub's children are added up by
-    partial aggregation, all joins are on the unique node.
+    amounts. Every round is a table in the shared folder, and so are the totals after every
+    ROUNDS_AT_ONCE rounds back; a hub's children are added up by partial aggregation, all joins
+    are on the unique node.
     """
     zero = F.lit(0).cast("long")
     children = tree.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n"))
@@ -162,7 +168,7 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
         rounds.append(stage.where("gone IS NOT NULL"))
         alive = stage.where("gone IS NULL").select(alive.columns)
     totals = alive.select("node", *TOTALS)  # the roots, which hold everything
-    for gone in reversed(rounds):
+    for back, gone in enumerate(reversed(rounds), 1):
         raked = gone.where("gone = 'leaf'").select("node", *TOTALS)
         above = gone.where("gone = 'chain'").select(
             F.col("child").alias("node"), F.col("node").alias("above"), *[F.col(t).alias(f"own_{t}") for t in TOTALS]
@@ -174,9 +180,49 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
             F.explode(F.when(F.isnull("above"), F.array(own)).otherwise(F.array(own, up))).alias("total")
         )
         totals = handed.select("total.*").union(raked)
+        if back % ROUNDS_AT_ONCE == 0:
+            totals = stored(totals, f"trie-back-{back}")
     return totals
 
 
+def node_totals(nodes: DataFrame) -> DataFrame:
+    """`nodes` with leaves and saved, the sums over each node's subtree.
+
+    `nodes` has node, parent, conv_id (the smallest member), depth, n_convs, bytes, n_children,
+    lone_children (those with one member), parent_conv_id and parent_convs (of its members).
+    Nodes with the same smallest member and as many members have the same members, so they
+    follow one another, and only the last has other children. Up to BLOCK of them are one
+    stretch; the contraction takes stretches, and a node's total is that of its stretch
+    without the nodes above.
+    """
+    zero, lone = F.lit(0).cast("long"), F.col("n_convs") == 1
+    stretch = lambda conv, convs, depth: F.struct(
+        conv.alias("conv_id"), convs.alias("n_convs"), F.floor(depth / BLOCK).alias("block")
+    )
+    own_leaves = F.when(F.col("n_children") == 0, 1).otherwise(F.col("lone_children")).cast("long")
+    shared = nodes.where(~lone).select(
+        "*",
+        stretch(F.col("conv_id"), F.col("n_convs"), F.col("depth")).alias("stretch"),
+        own_leaves.alias("own_leaves"),
+        ((F.col("n_convs") - 1) * F.col("bytes")).alias("own_saved"),
+    )
+    above = F.when(
+        F.col("parent").isNotNull(), stretch(F.col("parent_conv_id"), F.col("parent_convs"), F.col("depth") - 1)
+    )
+    tree = shared.groupBy("stretch").agg(
+        F.min_by(above, "depth").alias("parent"), *[F.sum(f"own_{t}").alias(t) for t in TOTALS]
+    )
+    totals = subtree_totals(tree.withColumnRenamed("stretch", "node")).select(
+        F.col("node").alias("stretch"), *[F.col(t).alias(f"all_{t}") for t in TOTALS]
+    )
+    before = Window.partitionBy("stretch").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    passed = shared.select("*", *[F.coalesce(F.sum(f"own_{t}").over(before), zero).alias(f"above_{t}") for t in TOTALS])
+    whole = passed.join(totals, "stretch").select(
+        *nodes.columns, *[(F.col(f"all_{t}") - F.col(f"above_{t}")).alias(t) for t in TOTALS]
+    )
+    return whole.union(nodes.where(lone).select("*", F.lit(1).cast("long").alias("leaves"), zero.alias("saved")))
+
+
 def _round(alive: DataFrame, number: int) -> DataFrame:
     """One rake and one compress. Rows with `gone` have left the tree: as a `leaf`, with its
     total, or from a `chain` above `child`, with what to add to the child's total."""
@@ -317,29 +363,23 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
         )
         .union(root)
     )
-    children = nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.count("*").alias("n_children"))
-    nodes = stored(
-        nodes.join(children.withColumnRenamed("parent", "node"), "node", "left").withColumn(
-            "n_children", F.coalesce("n_children", zero)
-        ),
-        "trie-nodes",
+    nodes = stored(nodes, "trie-nodes")
+    children = (
+        nodes.where("parent IS NOT NULL")
+        .groupBy(F.col("parent").alias("node"))
+        .agg(F.count("*").alias("n_children"), F.count(F.when(F.col("n_convs") == 1, 1)).alias("lone_children"))
     )
-    own_leaf = F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    totals = subtree_totals(
-        nodes.select(
-            "node",
-            "parent",
-            own_leaf.alias("leaves"),
-            ((F.col("n_convs") - 1) * F.col("bytes")).alias("saved"),
-        )
+    above = nodes.select(
+        F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("n_convs").alias("parent_convs")
     )
+    counts = ("n_children", "lone_children")
+    nodes = nodes.join(children, "node", "left").join(above, "parent", "left")
+    nodes = stored(nodes.withColumns({c: F.coalesce(c, zero) for c in counts}), "trie-links")
     last = placed.join(members.where("length > 0"), "conv_id").where("depth = length").select("node", "conv_id")
     turnless = members.where("length = 0").select(_root().alias("node"), "conv_id")
-    above = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     return (
-        nodes.join(totals, "node")
+        node_totals(nodes)
         .join(ends(last.union(turnless)), "node", "left")
-        .join(above, "parent", "left")
         .select(
             "conv_id",
             "depth",

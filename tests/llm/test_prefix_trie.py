@@ -104,3 +104,21 @@ def test_totals_of_any_tree(spark, rng):
             sums[parents[n]][k] += sums[n][k]
     found = {r.node: [r.leaves, r.saved] for r in prefix_trie.subtree_totals(tree).collect()}
     assert found == sums
+
+
+def test_rounds_back_do_not_pile_up(frame):
+    # each conversation goes on one turn further than the one before it
+    rows = [(5 * c, t, "u", f"turn {t}") for c in range(40) for t in range(c + 1)]
+    found = prefix_trie.prefix_trie(frame(rows))
+    joins = found._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins <= prefix_trie.ROUNDS_AT_ONCE + 4
+    assert rows_of(found) == expected(rows)
+
+
+def test_stretches_need_no_rounds(frame, monkeypatch):
+    written, write = [], prefix_trie.stored
+    monkeypatch.setattr(prefix_trie, "stored", lambda f, label: written.append(label) or write(f, label))
+    # copies with a long beginning in common, and as long tails of their own
+    rows = [(5 * c, t, "u", f"turn {t}" if t < 60 else f"{c} {t}") for c in range(12) for t in range(120)]
+    assert rows_of(prefix_trie.prefix_trie(frame(rows))) == expected(rows)
+    assert [w for w in written if w.startswith("trie-") and w[5:].isdigit()] == ["trie-0"]
