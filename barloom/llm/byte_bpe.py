@@ -3,16 +3,16 @@
 The queue has one bucket per merge rank, holding linked-list positions. Three
 levels of 64-bit words say which buckets are filled, so finding the lowest rank
 is three find-first-set steps however long the pre-token is. Entries whose pair
-has changed since they were put in are skipped when they come up.
+has changed since they were put in are skipped when they come up. All positions of a
+bucket are merged together, in arrays.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import regex
@@ -21,14 +21,12 @@ from pyspark.sql import DataFrame
 from barloom.llm.base import map_batches, prepared, small_groups
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-# Bytes of each of a Python worker's two memories, and about what an entry has besides its texts.
-REMEMBERED_BYTES = 24_000_000
+# Bytes of a Python worker's memory, and about what an entry has besides its texts.
+REMEMBERED_BYTES = 48_000_000
 ENTRY_BYTES = 200
 # Characters whose pre-tokens are merged at once.
-AT_ONCE = 1_000_000
+AT_ONCE = 2_000_000
 LONGEST_REMEMBERED = 64
-MOST_PAIRS = 100_000
-BESIDE_SPACE = re.compile(r" \s|\s |\n\s|\s\n")
 
 
 class RankQueue:
@@ -107,16 +105,24 @@ class ByteBPE:
         if len(self.bytes_of) != len(ranks):
             raise ValueError("two tokens share a rank")
         self.by_decimal = {str(rank): token for rank, token in self.bytes_of.items()}
-        self.shift = max(self.bytes_of).bit_length()
+        self.decimal = {rank: text for text, rank in zip(self.by_decimal, self.bytes_of, strict=True)}
+        # what stands between pre-tokens: an id that no token has
+        self.gap = max(self.bytes_of) + 1
+        self.shift = self.gap.bit_length()
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.byte_of = np.zeros(max(self.bytes_of) + 1, dtype=np.int64)
-        self.byte_of[self.single] = np.arange(256)
-        # ranks of two bytes' merge; the only pairs that stand beside each other at first
-        self.byte_pairs = np.array(
-            [[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], dtype=np.int64
-        )
-        self.pairs: dict[int, int] = {}
-        self.chunks, self.pieces = Memory(), Memory()
+        # every pair of tokens that merges, in order, and the rank of what it merges to
+        merges = {
+            left << self.shift | right: rank
+            for token, rank in ranks.items()
+            for at in range(1, len(token))
+            if (left := ranks.get(token[:at])) is not None and (right := ranks.get(token[at:])) is not None
+        }
+        # the last entry is above all pairs
+        pairs = np.array([*merges, 1 << 62], dtype=np.int64)
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.pair_ranks = np.array([*merges.values(), -1], dtype=np.int64)[order]
+        self.pieces = Memory()
 
     @classmethod
     def load(cls, content: bytes, pattern: str) -> ByteBPE:
@@ -128,108 +134,118 @@ class ByteBPE:
                 ranks[base64.b64decode(token)] = int(rank)
         return cls(ranks, pattern)
 
-    def _pair_rank(self, pair: int) -> int:
-        """The rank of two neighbours' merge, -1 if they never merge."""
-        left, right = pair >> self.shift, pair & ((1 << self.shift) - 1)
-        if len(self.pairs) > MOST_PAIRS:
-            self.pairs.clear()
-        rank = self.pairs[pair] = self.ranks.get(self.bytes_of[left] + self.bytes_of[right], -1)
-        return rank
-
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """Token ids of each pre-token. All of them lie in one linked list with gaps
-        between them and share one queue: what is found in a bucket serves them all."""
-        ranks, shift, pairs, pair_rank = self.ranks, self.shift, self.pairs, self._pair_rank
-        # each piece is followed by a gap that no pair reaches over
+    def _pair_ranks(self, pairs: np.ndarray) -> np.ndarray:
+        """The ranks of neighbours' merges, -1 where they never merge."""
+        at = self.pairs.searchsorted(pairs)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], -1)
+
+    def merge(self, pieces: list[bytes]) -> list[str]:
+        """Token ids of each pre-token, in decimal, joined by spaces. All of them lie in one
+        linked list with gaps between them and share one queue: a bucket serves them all."""
+        if not pieces:
+            return []
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 1
-        ends = np.cumsum(sizes)
-        starts, n = (ends - sizes).tolist(), int(ends[-1]) if len(pieces) else 0
-        flat = self.single[np.frombuffer(b"\0".join([*pieces, b""]), dtype=np.uint8)]
-        flat[ends - 1] = -1
-        first = np.full(n, -1, dtype=np.int64)
-        if n > 1:
-            left, right = flat[:-1], flat[1:]
-            both = (left >= 0) & (right >= 0)
-            first[:-1][both] = self.byte_pairs[self.byte_of[left[both]], self.byte_of[right[both]]]
-        ids, wanted = flat.tolist(), first.tolist()  # wanted: the rank of a position's pair in the queue
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        gaps = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.single[np.frombuffer(b"\0".join([b"", *pieces, b""]), dtype=np.uint8)]
+        ids[gaps] = self.gap
+        n = len(ids)
+        wanted = np.full(n, -1, dtype=np.int64)  # the rank of a position's pair in the queue
+        wanted[:-1] = self._pair_ranks(ids[:-1] << self.shift | ids[1:])
+        before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
         queue = RankQueue()
         push, filled = queue.push, queue.buckets.get
-        found_at = np.flatnonzero(first >= 0)
-        order = found_at[np.argsort(first[found_at], kind="stable")]
-        edges = np.flatnonzero(np.diff(first[order])) + 1
+        found_at = np.flatnonzero(wanted >= 0)
+        order = found_at[np.argsort(wanted[found_at], kind="stable")]
+        edges = np.flatnonzero(np.diff(wanted[order])) + 1
         for at in np.split(order, edges) if len(order) else ():
-            queue.fill(int(first[at[0]]), at.tolist())
+            queue.fill(int(wanted[at[0]]), at.tolist())
         while (found := queue.take_bucket()) is not None:
-            merged, positions = found
-            positions.sort()  # leftmost first among equals
-            waiting = -1  # up to here a lower rank has come up in the same pre-token
-            for i in positions:
-                if wanted[i] != merged:
-                    continue  # stale: the pair was taken or has changed
-                if i < waiting:
+            merged = found[0]
+            at = np.array(found[1], dtype=np.int64)
+            at = at[wanted[at] == merged]  # others are stale: the pair was taken or has changed
+            if not len(at):
+                continue
+            at.sort()  # leftmost first among equals
+            own, joined, ranks = self._beside(at, merged, ids, before, after)
+            # a rank of -1 is above all as an unsigned number
+            low = ranks.view(np.uint64) < merged
+            if low.any():
+                # a lower rank comes up: what is right of it in the same pre-token waits
+                lower = own[low[: len(own)] | low[len(own) :]]
+                first = np.full(len(gaps), n)
+                np.minimum.at(first, np.searchsorted(gaps, lower), lower)
+                now = at <= first[np.searchsorted(gaps, at)]
+                for i in at[~now].tolist():
                     push(merged, i)
-                    continue
-                j = after[i]
-                k = after[j]
-                ids[i] = merged
-                ids[j] = wanted[j] = wanted[i] = -1
-                after[i] = k
-                before[k] = i
-                right = ids[k]
-                if right >= 0:
-                    pair = merged << shift | right
-                    rank = pairs.get(pair)
-                    if rank is None:
-                        rank = pair_rank(pair)
-                    if rank >= 0:
-                        wanted[i] = rank
-                        if bucket := filled(rank):
-                            bucket.append(i)
-                        else:
-                            push(rank, i)
-                        if rank < merged:
-                            waiting = ids_end(starts, i, n)
-                h = before[i]
-                left = ids[h] if h >= 0 else -1
-                if left >= 0:
-                    pair = left << shift | merged
-                    rank = pairs.get(pair)
-                    if rank is None:
-                        rank = pair_rank(pair)
-                    wanted[h] = rank
-                    if rank >= 0:
-                        if bucket := filled(rank):
-                            bucket.append(h)
-                        else:
-                            push(rank, h)
-                        if rank < merged:
-                            waiting = ids_end(starts, i, n)
-        return [[x for x in ids[a:b] if x >= 0] for a, b in zip(starts, ends.tolist(), strict=True)]
-
-    def _learn(self, new: list[str]) -> dict[str, str]:
-        """Chunks of whole pre-tokens -> their ids in decimal, joined by spaces."""
-        split = [self.pattern.findall(c) for c in new]
-        wanted = {p for ps in split for p in ps}
-        text = self.pieces.known(wanted)
-        new_pieces = {p: p.encode() for p in wanted.difference(text)}
-        whole = {p: rank for p, b in new_pieces.items() if (rank := self.ranks.get(b)) is not None}
-        pieces = [p for p in new_pieces if p not in whole]
-        ids = self.merge([new_pieces[p] for p in pieces])
-        text |= {p: str(rank) for p, rank in whole.items()}
-        text |= {p: " ".join(map(str, x)) for p, x in zip(pieces, ids, strict=True)}
-        self.pieces.keep(text)
-        return {c: " ".join([text[p] for p in ps]) for c, ps in zip(new, split, strict=True)}
+                own, joined, ranks = self._beside(at[now], merged, ids, before, after)
+            taken = after[own]
+            following = after[taken]
+            ids[own] = merged
+            ids[taken] = -1
+            wanted[taken] = -1
+            after[own] = following
+            before[following] = own
+            lefts = before[own]
+            if joined is not None:
+                # two merged ones side by side are a pair that the left one has
+                side = np.flatnonzero(joined)
+                ranks[len(own) + side - 1] = ranks[side]
+                apart = np.concatenate([~joined, np.ones(len(own), dtype=bool)])
+                changed = np.concatenate([lefts, own])[apart]
+                ranks = ranks[apart]
+            else:
+                changed = np.concatenate([lefts, own])
+            wanted[changed] = ranks
+            new = ranks >= 0
+            for rank, i in zip(ranks[new].tolist(), changed[new].tolist(), strict=True):
+                if bucket := filled(rank):
+                    bucket.append(i)
+                else:
+                    push(rank, i)
+        left = (ids >= 0) & (ids != self.gap)
+        texts = list(map(self.decimal.__getitem__, ids[left].tolist()))
+        bounds = np.cumsum(left)[gaps].tolist()
+        return [" ".join(texts[a:b]) for a, b in pairwise(bounds)]
+
+    def _beside(self, at, merged: int, ids, before, after) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+        """Of positions with the same pair, in order: those that merge, leftmost first; which of
+        them follow the one before directly, None if none does; and the ranks of the pairs that
+        each has with its left and then its right neighbour when it has merged and what is
+        right of it has not."""
+        taken = after[at]
+        over = taken[:-1] == at[1:]
+        if over.any():
+            # of pairs that overlap, every other one is left over
+            number = np.arange(len(at))
+            start = np.maximum.accumulate(np.where(np.concatenate([[False], over]), 0, number))
+            at = at[(number - start) & 1 == 0]
+            taken = after[at]
+        previous = before[at]
+        left, joined = ids[previous], None
+        follows = taken[:-1] == previous[1:]
+        if follows.any():
+            joined = np.concatenate([[False], follows])
+            left[joined] = merged
+        right = ids[after[taken]]
+        return at, joined, self._pair_ranks(np.concatenate([left << self.shift | merged, right | merged << self.shift]))
+
+    def _learn(self, new: set[str]) -> dict[str, str]:
+        """Pre-tokens -> their ids in decimal, joined by spaces."""
+        coded = {p: p.encode() for p in new}
+        text = {p: str(rank) for p, b in coded.items() if (rank := self.ranks.get(b)) is not None}
+        rest = [p for p in new if p not in text]
+        text.update(zip(rest, self.merge([coded[p] for p in rest]), strict=True))
+        return text
 
     def _ids_texts(self, texts: list[str]) -> Iterator[str]:
         """The ids of each text in decimal, joined by spaces."""
-        cut = [chunks(t) for t in texts]
+        cut = [self.pattern.findall(t) for t in texts]
         wanted = set().union(*cut)
-        kept = self.chunks.known(wanted)
-        kept |= self._learn(list(wanted.difference(kept)))
-        for cs in cut:
-            yield " ".join(map(kept.__getitem__, cs))
-        self.chunks.keep(kept)
+        kept = self.pieces.known(wanted)
+        kept |= self._learn(wanted.difference(kept))
+        for pieces in cut:
+            yield " ".join(map(kept.__getitem__, pieces))
+        self.pieces.keep(kept)
 
     def digests(self, texts: list[str]) -> Iterator[tuple[list[str], str, str]]:
         """Ids in decimal, SHA-256 of their joined text, SHA-256 of the bytes they decode to."""
@@ -252,28 +268,11 @@ class ByteBPE:
         return b"".join([self.bytes_of[i] for i in ids])
 
 
-def ids_end(starts: list[int], position: int, n: int) -> int:
-    """Where the pre-token that holds a position ends."""
-    following = bisect_right(starts, position)
-    return starts[following] if following < len(starts) else n
-
-
-def chunks(text: str) -> list[str]:
-    """Cuts a text where the pattern always ends a match: before a space or line break
-    that has no white space beside it, and after such a line break."""
-    if not text:
-        return []
-    if "\0" in text or BESIDE_SPACE.search(text):
-        return [text]
-    cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-    return [c for c in cut if c] if "" in cut else cut
-
-
 _coders: dict[tuple[bytes, str], ByteBPE] = {}
 
 
 def coder(content: bytes, pattern: str) -> ByteBPE:
-    """One per Python worker and vocabulary, so that remembered chunks serve many tasks."""
+    """One per Python worker and vocabulary, so that remembered pre-tokens serve many tasks."""
     key = (hashlib.sha256(content).digest(), pattern)
     if key not in _coders:
         _coders[key] = ByteBPE.load(content, pattern)

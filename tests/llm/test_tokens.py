@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 import time
 
 import public_tokenizers
@@ -82,6 +83,32 @@ def test_merge_order_where_a_lower_rank_comes_up_late():
     assert list(bpe.encode(texts)) == [library.encode_ordinary(t) for t in texts]
 
 
+def test_merge_order_of_any_ranks(rng):
+    """Merges of any order, also such whose parts merge later: leftmost of the lowest is next."""
+    for _ in range(60):
+        made = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))).encode() for _ in range(40)}
+        made = [*made, *(bytes([b]) for b in range(256))]
+        ranks = dict(zip(made, rng.sample(range(len(made)), len(made)), strict=True))
+        bpe = byte_bpe.ByteBPE(ranks, r"[a-c]+|[^a-c]+")
+        library = tiktoken.Encoding("own", pat_str=r"[a-c]+|[^a-c]+", mergeable_ranks=ranks, special_tokens={})
+        texts = ["".join(rng.choice("aaabc ") for _ in range(rng.randint(0, 60))) for _ in range(40)]
+        assert list(bpe.encode(texts)) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_many_new_pre_tokens_are_merged_together(rng, ranks, library):
+    bpe = byte_bpe.ByteBPE(ranks, public_tokenizers.PATTERN)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(16)) for _ in range(4000)]
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "c_call" else None)
+    try:
+        found = bpe.merge([w.encode() for w in words])
+    finally:
+        sys.setprofile(None)
+    assert len(found) == len(words)
+    assert len(calls) < 1.7 * sum(map(len, words))
+    assert list(bpe.encode(words)) == [library.encode_ordinary(w) for w in words]
+
+
 def test_a_long_pre_token_takes_linear_time(rng, ranks, library):
     bpe = byte_bpe.ByteBPE(ranks, public_tokenizers.PATTERN)
     text = "".join(rng.choice("abcde") for _ in range(100_000))
