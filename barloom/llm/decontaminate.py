@@ -31,7 +31,7 @@ SLOTS = 97
 GRAIN = 4
 # Parts compared at once, and characters of documents searched together: arrays stay in cache.
 AT_ONCE = 8192
-TOGETHER = 50_000
+TOGETHER = 100_000
 # Characters of items that are broadcast at once, in tables of about 160 bytes for each; a larger
 # benchmark takes several scans.
 BLOCK_CHARS = 500_000
@@ -95,17 +95,42 @@ def within(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hash(codes: np.ndarray, length: int) -> np.ndarray:
-    """Polynomial hash of the `length` characters from each position on."""
-    if len(codes) < length:
-        return np.zeros(0, dtype=np.uint64)
-    one = codes.astype(np.uint64) + np.uint64(1)
-    count = len(codes) - length + 1
-    out = one[:count].copy()
-    for i in range(1, length):
-        out *= _STEP
-        out += one[i : i + count]
-    return out
+@cache
+def _powers(base: int, count: int) -> np.ndarray:
+    """base to the power of 0, 1, and so on, modulo 2**64."""
+    out = np.full(count, base & (1 << 64) - 1, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Hashes:
+    """Polynomial hashes of any stretch of a text, each from two running sums; all groups of
+    pieces share them. A text has at most TOGETHER + 2 * LONGEST characters."""
+
+    def __init__(self, codes: np.ndarray):
+        self.one = codes.astype(np.uint64) + np.uint64(1)
+        self.count = len(codes)
+        inverse = _powers(pow(int(_STEP), -1, 1 << 64), TOGETHER + 2 * LONGEST + 1)
+        self.powers = _powers(int(_STEP), TOGETHER + 2 * LONGEST + 1)
+        # characters by falling powers, so that a rising one makes any stretch's sum its hash
+        self.sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum(self.one * inverse[: len(codes)], out=self.sums[1:])
+        self.whole: dict[int, np.ndarray] = {}
+        self.salted: dict[int, np.ndarray] = {}
+
+    def everywhere(self, length: int) -> np.ndarray:
+        """The hash of the `length` characters from each position on."""
+        if length not in self.whole:
+            starts = max(0, self.count - length + 1)
+            sums = self.sums[length : length + starts] - self.sums[:starts]
+            sums *= self.powers[length - 1 : length - 1 + starts]
+            self.whole[length] = sums
+        return self.whole[length]
+
+    def everywhere_salted(self, length: int) -> np.ndarray:
+        if length not in self.salted:
+            self.salted[length] = _salted(self.everywhere(length), 0)
+        return self.salted[length]
 
 
 def _salted(hashes: np.ndarray, salt: int) -> np.ndarray:
@@ -172,31 +197,24 @@ class Pieces:
     def extra(self, j: int) -> int:
         return 200 + j
 
-    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, piece) of every place where a piece is with at most one edit."""
-        pairs = [np.zeros(0, dtype=np.int64)]
-        for first in range(0, len(codes), TOGETHER):
-            found = self._find(codes[first : first + TOGETHER + self.length])
-            pairs.append((found[0] + first) << 32 | found[1])
-        pairs = np.concatenate(pairs)
-        pairs.sort()
-        pairs = pairs[np.diff(pairs, prepend=-1) != 0]
-        return pairs >> 32, pairs & 0xFFFFFFFF
-
-    def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        m, left = self.length, self.left
-        hashes = {n: _hash(codes, n) for n in (m - 1, m, m + 1)}
-        one = codes.astype(np.uint64) + np.uint64(1)
+    def find(self, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+        """(start, piece) of every place where a piece is with at most one edit; a place may
+        come more than once."""
+        m, left, one = self.length, self.left, hashes.one
         starts, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
         def look(at: np.ndarray, size: int, salt: int, place: int | None) -> None:
-            at = at[np.searchsorted(at, 0) : np.searchsorted(at, len(hashes[size]))]
-            own = hashes[size][at]
+            at = at[np.searchsorted(at, 0) : np.searchsorted(at, hashes.count - size + 1)]
+            if not len(at):
+                return
+            own = hashes.everywhere(size)[at]
             if place is not None:
-                own = own - one[at + place] * self.powers[size - 1 - place]
+                own -= one[at + place] * self.powers[size - 1 - place]
             own = _salted(own, salt)
             keys, after, piece, bits = self.tables[salt]
             few = np.flatnonzero(bits.holds(own))
+            if not len(few):
+                return
             own, at = own[few], at[few]
             low = np.searchsorted(keys, own)
             low[low == len(keys)] = 0
@@ -207,28 +225,35 @@ class Pieces:
             starts.append(np.repeat(at, many))
             numbers.append(piece[entry])
 
+        # where an exact end of the first half's edits is, with room for what is looked up beyond
+        ended = np.zeros(hashes.count + m + 2, dtype=bool)
+        last = hashes.everywhere_salted(m - left)
+        ended[: len(last)] = self.ends[m - left].holds(last)
         # edits in the second half: the beginning is exact up to their place, so fewer and fewer
-        at = np.arange(len(hashes[m - 1]))
-        own = _hash(codes, left)[: len(at)]
+        most = max(0, hashes.count - m + 2)
+        own, salted = hashes.everywhere(left)[:most], hashes.everywhere_salted(left)[:most]
+        at = np.arange(len(own))
         for j in range(left, m):
-            some = np.flatnonzero(self.begins[j].holds(_salted(own, 0)))
-            at, own = at[some], own[some]
+            some = np.flatnonzero(self.begins[j].holds(_salted(own, 0) if salted is None else salted))
+            at, own, salted = at[some], own[some], None
             look(at, m, self.replaced(j), j)
-            look(at, m + 1, self.extra(j), j)
+            # what follows one too many at the half is an exact end
+            look(at[ended[at + j + 1]] if j == left else at, m + 1, self.extra(j), j)
             if j == left:
                 look(at, m - 1, self.missing(left), None)
             if j < m - 1:
                 own = own * _STEP + one[at + j]
         # edits in the first half: likewise from the end
-        at = np.arange(len(codes) - (m - left) + 1)
-        own = _hash(codes, m - left)
+        at = np.flatnonzero(ended)
+        own = hashes.everywhere(m - left)[at]
         for j in range(left - 1, -1, -1):
             n = m - 1 - j
-            some = np.flatnonzero(self.ends[n].holds(_salted(own, 0)))
-            at, own = at[some], own[some]
+            if j < left - 1:
+                some = np.flatnonzero(self.ends[n].holds(_salted(own, 0)))
+                at, own = at[some], own[some]
+                # one too many before an end that is exact from there on
+                look(at - j - 2, m + 1, self.extra(j + 1), j + 1)
             look(at - j - 1, m, self.replaced(j), j)
-            if j:
-                look(at - j - 2, m + 1, self.extra(j), j)
             if j == left - 1:
                 look(at - j, m - 1, self.missing(0), None)
             some = np.flatnonzero(at > 0)
@@ -286,23 +311,39 @@ class Parts:
         score, best = size.astype(self.signed), size.astype(self.signed)
         reach = size + 2 * most
         least = int(reach.min())
+        place = begin.copy()
         for step in range(int(reach.max())):
-            met = slots[begin + step]
-            gain = loss = self.word(0)
+            met = slots[place]
+            place += 1
+            gain = loss = None
             for w in range(words):
                 equal = flat[rows[w] + met]
                 vertical = equal | down[w]
-                equal = equal | loss
-                horizontal = (((equal & up[w]) + up[w]) ^ up[w]) | equal
-                up_h = down[w] | ~(horizontal | up[w])
-                down_h = up[w] & horizontal
-                more, less = up_h >> last[w] & one, down_h >> last[w] & one
+                if w:
+                    equal |= loss
+                down_h = equal & up[w]
+                down_h += up[w]
+                down_h ^= up[w]
+                down_h |= equal
+                up_h = down_h | up[w]
+                np.invert(up_h, out=up_h)
+                up_h |= down[w]
+                down_h &= up[w]
+                more, less = up_h >> last[w], down_h >> last[w]
+                more &= one
+                less &= one
                 change = more.view(self.signed) - less.view(self.signed)
                 score += change if words == 1 else change * ends[w]
-                up_h = up_h << one | gain
-                down_h = down_h << one | loss
-                up[w] = down_h | ~(vertical | up_h)
+                up_h <<= one
+                down_h <<= one
+                if w:
+                    up_h |= gain
+                    down_h |= loss
                 down[w] = up_h & vertical
+                vertical |= up_h
+                np.invert(vertical, out=vertical)
+                vertical |= down_h
+                up[w] = vertical
                 gain, loss = more, less
             np.minimum(best, score if step < least else np.where(step < reach, score, best), out=best)
         return best <= most
@@ -356,15 +397,25 @@ class Benchmark:
         """(document, start, item) of every window that may hold its item, in joined documents;
         the item begins at most as many characters from there as it may have edits."""
         slots = (codes % SLOTS).astype(np.int64)
+        places: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)] for _ in self.pieces]
+        longest = max((pieces.length for pieces, *_ in self.pieces), default=0)
+        for first in range(0, len(codes), TOGETHER):
+            hashes = Hashes(codes[first : first + TOGETHER + longest])
+            for known, (pieces, *_) in zip(places, self.pieces, strict=True):
+                start, number = pieces.find(hashes)
+                known.append((start + first) << 32 | number)
         out = [np.zeros((0, 3), dtype=np.int64)]
-        for pieces, item, place, *parts in self.pieces:
-            start, number = pieces.find(codes)
+        for known, (_, item, place, *parts) in zip(places, self.pieces, strict=True):
+            pairs = np.concatenate(known)
+            pairs.sort()
+            pairs = pairs[np.diff(pairs, prepend=-1) != 0]
+            start, number = pairs >> 32, pairs & 0xFFFFFFFF
             for level, part in enumerate(parts):
                 own = part[number]
-                known = self.parts[level]
-                most = known.most[own]
+                stretches = self.parts[level]
+                most = stretches.most[own]
                 inside = place[number] - self.begins[level][own]
-                near = known.near(own, start - inside - most, slots)
+                near = stretches.near(own, start - inside - most, slots)
                 start, number = start[near], number[near]
             document = np.searchsorted(ends, start, side="right")
             out.append(np.stack([document, start - place[number], item[number]], axis=1))

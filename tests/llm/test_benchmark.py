@@ -163,3 +163,40 @@ def test_search_is_brute_force(rng):
             if best := within(codes, normalised(text), int(0.2 * len(codes) + 1e-9)):
                 brute[item] = (item, best[0], 1 - best[0] / len(codes), best[1])
         assert own == [brute[i] for i in sorted(brute)]
+
+
+def test_pieces_with_one_edit_over_chunks(rng, monkeypatch):
+    """Every piece with at most one edit is found, wherever texts are cut; pieces of all
+    lengths share the running sums of a chunk."""
+    made, begin = [], decontaminate.Hashes.__init__
+    monkeypatch.setattr(decontaminate, "TOGETHER", 40)
+    monkeypatch.setattr(decontaminate.Hashes, "__init__", lambda self, codes: made.append(1) or begin(self, codes))
+    decontaminate._powers.cache_clear()
+    items = [(n, "".join(rng.choice("abcdefghij") for _ in range(size))) for n, size in enumerate([44, 44, 100, 240])]
+    bench = decontaminate.Benchmark(items)
+    assert len({pieces.length for pieces, *_ in bench.pieces}) == 2
+    whole = ""
+    for _, text in items:
+        for at in range(0, len(text) - 9, 7):
+            j = at + rng.randrange(9)
+            whole += rng.choice([text[:j] + text[j + 1 :], text[:j] + "x" + text[j:], text[:j] + "x" + text[j + 1 :]])[at : at + 11]
+    codes = decontaminate.normalised(whole)
+    for pieces, item, place, *_ in bench.pieces:
+        m = pieces.length
+        found = set()
+        for first in range(0, len(codes), 40):
+            start, number = pieces.find(decontaminate.Hashes(codes[first : first + 40 + 9]))
+            found |= set(zip((start + first).tolist(), number.tolist(), strict=True))
+        for n in range(len(item)):
+            own = bench.items[item[n]][1][place[n] : place[n] + m]
+            edited = {tuple(own)}
+            for j in range(m):
+                edited |= {(*own[:j], ord("x"), *own[j + 1 :]), (*own[:j], *own[j + 1 :])}
+                edited |= {(*own[:j], ord("x"), *own[j:])} if j else set()
+            for k in range(len(codes) - m):
+                if any(tuple(codes[k : k + len(e)]) == e for e in edited if len(e) != m - 1 or k + m <= len(codes)):
+                    assert any((k + d, n) in found for d in (-1, 0, 1))
+    made.clear()
+    bench.search([whole])
+    assert len(made) == -(-len(codes) // 40)
+    decontaminate._powers.cache_clear()
