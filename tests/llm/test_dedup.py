@@ -194,3 +194,76 @@ def test_near_duplicates_are_judged_by_row(documents):
             kept = simhash.without_near_duplicates(frame)
             assert kept.columns == frame.columns
             assert rows_of(kept.select("doc_id", "text")) == sorted([(1, shared), (2, own), (None, nameless), (None, shared)], key=repr)
+
+
+def test_a_task_hands_on_one_piece_per_bucket(spark, documents, rng):
+    """Not one per batch and bucket: those grow with the square of the input."""
+    rows = documents([(i, "".join(rng.choice("abcdefgh ") for _ in range(400))) for i in range(300)])
+    rows = rows.selectExpr("doc_id AS doc", "0 AS row", "text").coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    shared = suffix_dedup.Filter(4, 6, np.full(1 << 7, 255, dtype=np.uint8))  # holds every anchor
+    sent = suffix_dedup._run_texts(rows, spark.sparkContext.broadcast(shared))
+    try:
+        spark.conf.set(name, "10")
+        buckets = [r.bucket for r in sent.select("bucket").collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(buckets) == list(range(16))
+
+
+def test_buckets_stay_few_as_the_input_grows():
+    sized = suffix_dedup.Filter.sized
+    # 10 GB in tasks of 26 MB: a task hands on a piece per bucket, of hundreds of anchors
+    assert (26 << 20) // (suffix_dedup.WINDOW // 2) >> sized(10 << 30).bucket_bits >= 500
+    assert [sized(n << 20).bucket_bits for n in (0, 1, 16, 100, 1000)] == [4, 4, 5, 7, 8]
+    for n in (1 << 20, 1 << 33, 1 << 40):
+        shape = sized(n)
+        assert 1 << (shape.bucket_bits + shape.segment_bits) <= suffix_dedup.FILTER_BITS
+
+
+def plain_owners(texts, offsets, owners):
+    """Of every string, the smallest owner of a text that has it as far from the anchor."""
+    first = {}
+    for text, at, owner in zip(texts, offsets, owners):
+        for i in range(len(text) - 49):
+            string = at - i, text[i : i + 50]
+            first[string] = min(first.get(string, owner), owner)
+    return [[first[at - i, text[i : i + 50]] for i in range(len(text) - 49)] for text, at in zip(texts, offsets)]
+
+
+@pytest.mark.parametrize("most", [3, 40, 256])
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"abcd"])
+def test_a_hot_anchor_is_split(rng, monkeypatch, letters, most):
+    """One line before many texts: no suffix array is of more than MOST_TEXTS of them."""
+    sizes = []
+
+    def noted(string):
+        sizes.append(sum(symbol == max(string) for symbol in string))
+        return suffix_array(string)
+
+    monkeypatch.setattr(suffix_dedup, "MOST_TEXTS", most)
+    monkeypatch.setattr(suffix_dedup, "suffix_array", noted)
+    anchor = b"the anchor of 24 bytes!!"
+    sides = [bytes(rng.choice(letters) for _ in range(26)) for _ in range(4)]
+    contexts = {(sides[0], bytes(rng.choice(letters) for _ in range(26)), 26, 26): i for i in range(600)}
+    for i in range(600):
+        before, after = (bytearray(rng.choice(sides)) for _ in range(2))
+        for side in (before, after):
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                side[rng.randrange(26)] = rng.choice(letters)
+        left = rng.choice([26, 26, rng.randint(0, 26)])
+        contexts[bytes(before), bytes(after), left, rng.randint(26 - left, 26)] = rng.randrange(1200)
+    texts = {(before[26 - left :] + anchor + after[:right], left): owner for (before, after, left, right), owner in contexts.items()}
+    texts, offsets, owners = [t for t, _ in texts], [o for _, o in texts], list(texts.values())
+    found = suffix_dedup.anchor_verdicts(texts, offsets, owners)
+    assert [[owner for a, b, owner in parts for _ in range(a, b)] for parts in found] == plain_owners(texts, offsets, owners)
+    assert max(sizes, default=0) <= most
+
+
+def test_a_line_before_many_texts(documents, rng, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MOST_TEXTS", 5)
+    line = "a line that stands before the text of very many documents\n"
+    rows = [(i, line + "".join(rng.choice("ab") for _ in range(rng.randint(0, 70)))) for i in range(150)]
+    rows += [(rng.randrange(200), rows[i][1][20:] + line) for i in range(40)]
+    assert rows_of(suffix_dedup.repeated_bytes(documents(rows).repartition(4))) == plain_removal(rows)
